@@ -12,6 +12,7 @@ from siltbed.functions import clip, safe_double
 from siltbed.operators.projection import with_missing
 from siltbed.operators.quality import dedupe_by_key
 from siltbed.operators.quantiles import exact_medians
+from siltbed.sources.session import staged
 
 
 def numeric_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -24,9 +25,10 @@ def impute_medians(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame
     """Fill by the key's median, then the median over all filled rows, then 0.
 
     Rows without a key belong to no group: they take the overall median even where they had
-    a value.
+    a value. The panel is read in several passes, so it and its medians are staged first.
     """
-    by_key = exact_medians(df, columns, [key])
+    df = staged(df)
+    by_key = staged(exact_medians(df, columns, [key]))
     side = by_key.select(F.col(key).alias("_key"), F.struct(*columns).alias("_median"))
     grouped = (
         df.join(side, F.col(key) == F.col("_key"), "left")

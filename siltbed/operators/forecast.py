@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml import PipelineModel, Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +17,12 @@ from siltbed.operators.timeseries import percent_change
 Predictor = Callable[[DataFrame, str], DataFrame]
 
 
+def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Feature vector in ``_features``; a missing value counts as 0, like a missing lag."""
+    values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]
+    return df.withColumn("_features", array_to_vector(F.array(*values)))
+
+
 def train_growth_model(
     train: DataFrame,
     features: Sequence[str],
@@ -28,15 +33,12 @@ def train_growth_model(
     subsample: float = 0.8,
     feature_share: float = 0.8,
     seed: int = 42,
-) -> PipelineModel:
+) -> GBTRegressionModel:
     """Gradient-boosted trees on one growth target, trained on the cluster.
 
     The feature share applies per node, and there is no L1/L2 penalty: scores are close to,
     not bit-equal with, other boosting libraries.
     """
-    assembler = VectorAssembler(
-        inputCols=list(features), outputCol="_features", handleInvalid="keep"
-    )
     booster = GBTRegressor(
         featuresCol="_features",
         labelCol=target,
@@ -48,12 +50,12 @@ def train_growth_model(
         featureSubsetStrategy=str(feature_share),
         seed=seed,
     )
-    return Pipeline(stages=[assembler, booster]).fit(train.select(*features, target))
+    return booster.fit(assemble(train, features).select("_features", target))
 
 
-def model_predictor(model: PipelineModel) -> Predictor:
+def model_predictor(model: GBTRegressionModel, features: Sequence[str]) -> Predictor:
     def predict(df: DataFrame, out: str) -> DataFrame:
-        scored = model.transform(df)
+        scored = model.transform(assemble(df, features))
         return scored.withColumnRenamed("_prediction", out).drop("_features")
 
     return predict
@@ -64,16 +66,18 @@ def column_predictor(growth: Column) -> Predictor:
     return lambda df, out: df.withColumn(out, growth)
 
 
-def evaluate_model(model: PipelineModel, test: DataFrame, target: str) -> DataFrame:
-    scored = model_predictor(model)(test, "_predicted")
+def evaluate_model(
+    model: GBTRegressionModel, test: DataFrame, features: Sequence[str], target: str
+) -> DataFrame:
+    scored = model_predictor(model, features)(test, "_predicted")
     return regression_metrics(scored, target, "_predicted", target)
 
 
 def feature_importance(
-    spark: SparkSession, model: PipelineModel, features: Sequence[str], target: str
+    spark: SparkSession, model: GBTRegressionModel, features: Sequence[str], target: str
 ) -> DataFrame:
     """Importance per feature, largest first; one row per feature."""
-    weights = model.stages[-1].featureImportances.toArray()
+    weights = model.featureImportances.toArray()
     rows = [(f, float(w), target) for f, w in zip(features, weights)]
     schema = "feature_name string, importance double, target_metric string"
     return spark.createDataFrame(rows, schema).orderBy(F.desc("importance"), "feature_name")

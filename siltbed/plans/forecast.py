@@ -28,7 +28,7 @@ from siltbed.operators.quality import require
 from siltbed.operators.rollup import average_panel
 from siltbed.plans import fixed_values as fixed
 from siltbed.sources.readers import read_tables
-from siltbed.sources.session import use_checkpoints
+from siltbed.sources.session import staged
 from siltbed.sources.writers import WriteResult, write_table
 
 GOLD_TABLES = {
@@ -103,11 +103,10 @@ def forecast_tables(
 ) -> dict[str, DataFrame]:
     """Evaluation, feature importance, per-key forecast and global summary.
 
-    The prepared panel is checkpointed once: it is read by every boosting round, and a lost
+    The prepared panel is staged once: both models and the snapshot read it, and a lost
     executor must not cause its joins to run again.
     """
-    use_checkpoints(spark)
-    prepared = prepare_panel(panel, key).checkpoint()
+    prepared = staged(prepare_panel(panel, key))
     split = chronological_split(prepared, "year", fixed.TEST_FRACTION)
     train, test = split.filter("is_train"), split.filter("NOT is_train")
 
@@ -117,8 +116,8 @@ def forecast_tables(
         model = train_growth_model(
             train, fixed.FORECAST_FEATURES, growth, **(settings or fixed.MODEL_SETTINGS)
         )
-        models[target] = model_predictor(model)
-        evaluations.append(evaluate_model(model, test, growth))
+        models[target] = model_predictor(model, fixed.FORECAST_FEATURES)
+        evaluations.append(evaluate_model(model, test, fixed.FORECAST_FEATURES, growth))
         importances.append(feature_importance(spark, model, fixed.FORECAST_FEATURES, growth))
 
     snapshot = latest_snapshot(prepared, key, "year", fixed.FORECAST_TARGETS)

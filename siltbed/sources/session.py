@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_checkpoints(spark: SparkSession) -> str:
@@ -20,3 +21,14 @@ def use_checkpoints(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="siltbed-checkpoint-"))
     return context.getCheckpointDir()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write an intermediate table once and read it back.
+
+    For a result that several later passes read: its plan runs once, lost executors cost no
+    recomputation, and being parquet it still offers column pruning and a known size.
+    """
+    path = f"{use_checkpoints(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -22,7 +22,7 @@ from siltbed.operators.forecast import (
     recursive_forecast,
     train_growth_model,
 )
-from siltbed.sources.session import use_checkpoints
+from siltbed.sources.session import staged
 from siltbed.workload.panel import EXOGENOUS, GROWTH_SQL, PANEL_SQL, TARGETS, panel
 from siltbed.workload.registry import query, rounded
 
@@ -109,14 +109,9 @@ SETTINGS = {"trees": 10, "depth": 4, "learning_rate": 0.1}
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared panel, checkpointed because every boosting round reads it."""
-    use_checkpoints(spark)
-    return (
-        panel(spark, sf_dir)
-        .transform(impute_medians, "nation_key", EXOGENOUS)
-        .transform(lag_and_growth, "nation_key", "year", TARGETS)
-        .checkpoint()
-    )
+    """Prepared panel, staged because both models and the snapshot read it."""
+    imputed = panel(spark, sf_dir).transform(impute_medians, "nation_key", EXOGENOUS)
+    return staged(imputed.transform(lag_and_growth, "nation_key", "year", TARGETS))
 
 
 def _models(prepared: DataFrame):
@@ -129,7 +124,7 @@ def _models(prepared: DataFrame):
 @query()
 def gbt_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     models, test = _models(_prepared(spark, sf_dir))
-    return union_all([evaluate_model(m, test, f"{t}_yoy_growth") for t, m in models.items()])
+    return union_all([evaluate_model(m, test, FEATURES, f"{t}_yoy_growth") for t, m in models.items()])
 
 
 @query()
@@ -145,6 +140,6 @@ def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
     models, _ = _models(prepared)
     snapshot = latest_snapshot(prepared, "nation_key", "year", TARGETS)
-    predictors = {t: model_predictor(m) for t, m in models.items()}
+    predictors = {t: model_predictor(m, FEATURES) for t, m in models.items()}
     forecast = recursive_forecast(snapshot, KEYS, predictors, YEARS)
     return forecast_table(forecast, *KEYS, value="predicted_order_value", out="growth")

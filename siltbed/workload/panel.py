@@ -27,11 +27,12 @@ PANEL_SQL = """
 demand AS (
   SELECT CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS nation_key,
          CAST(year(o_orderdate) AS INT) AS year, round(sum(o_totalprice), 2) AS order_value,
-         CAST(count(*) AS DOUBLE) AS order_count, round(avg(c_acctbal), 4) AS avg_balance
+         CAST(count(*) AS DOUBLE) AS order_count, round(sum(c_acctbal), 2) / count(*) AS avg_balance
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
 production AS (
   SELECT s_nationkey AS nation_key, CAST(year(l_shipdate) AS INT) AS year,
-         round(avg(l_quantity), 4) AS avg_quantity, round(avg(l_discount), 6) AS avg_discount
+         round(sum(l_quantity), 2) / count(*) AS avg_quantity,
+         round(sum(l_discount), 2) / count(*) AS avg_discount
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL),
 panel AS (
   SELECT d.nation_key, n_name AS nation_name, d.year,
@@ -59,7 +60,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.round(F.sum("value"), 2).alias("order_value"),
             F.sum("n").cast("double").alias("order_count"),
-            F.round(F.sum(F.col("c_acctbal") * F.col("n")) / F.sum("n"), 4).alias("avg_balance"),
+            (F.round(F.sum(F.col("c_acctbal") * F.col("n")), 2) / F.sum("n")).alias("avg_balance"),
         )
     )
     lines = (
@@ -75,8 +76,8 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
         .groupBy(F.col("s_nationkey").alias("nation_key"), "year")
         .agg(
-            F.round(F.sum("quantity") / F.sum("n"), 4).alias("avg_quantity"),
-            F.round(F.sum("discount") / F.sum("n"), 6).alias("avg_discount"),
+            (F.round(F.sum("quantity"), 2) / F.sum("n")).alias("avg_quantity"),
+            (F.round(F.sum("discount"), 2) / F.sum("n")).alias("avg_discount"),
         )
     )
     nations = table(spark, sf_dir, "nation").select(
