@@ -25,9 +25,9 @@ def impute_medians(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame
     """Fill by the key's median, then the median over all filled rows, then 0.
 
     Rows without a key belong to no group: they take the overall median even where they had
-    a value. The panel is read in several passes, so it and its medians are staged first.
+    a value. The panel is read in several passes: stage it first. Its medians per key are
+    staged here.
     """
-    df = staged(df)
     by_key = staged(exact_medians(df, columns, [key]))
     side = by_key.select(F.col(key).alias("_key"), F.struct(*columns).alias("_median"))
     grouped = (
@@ -123,7 +123,8 @@ def chronological_split(
     """Mark the earlier periods as training rows.
 
     The cut counts distinct periods; with at least two, both sides get one. The distinct
-    periods are one short array in a scalar subquery, so rows are not shuffled.
+    periods are one short array in a scalar subquery, so rows are not shuffled. The panel
+    is read twice: stage it first where computing it is dear.
     """
     periods = df.agg(F.array_sort(F.collect_set(period)).alias("p"))
     n = F.size("p")
@@ -137,7 +138,10 @@ def chronological_split(
 def latest_snapshot(
     df: DataFrame, key: str, period: str, targets: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key in the table's latest period, with each lag set to the current value."""
+    """One row per key in the table's latest period, with each lag set to the current value.
+
+    The panel is read twice: stage it first where computing it is dear.
+    """
     latest = df.filter(F.col(period) == df.agg(F.max(period)).scalar())
     current = {f"{t}_lag_1": F.col(t) for t in targets}
     return dedupe_by_key(latest.withColumns(current), [key])

@@ -49,14 +49,22 @@ def _exact(
     if keys:
         values = values.dropna(subset=list(keys))
 
+    # One sketch per column serves all its fractions.
+    spots = {c: [i for i, t in enumerate(targets) if t[0] == c] for c in columns}
+    sketches = {
+        c: F.percentile_approx(
+            f"_v_{c}",
+            [q for i in spots[c] for q in (max(targets[i][1] - margin, 0.0), min(targets[i][1] + margin, 1.0))],
+            accuracy,
+        )
+        for c in columns
+    }
     brackets = [
         F.struct(
             F.count(f"_v_{c}").alias("n"),
-            F.percentile_approx(
-                f"_v_{c}", [max(p - margin, 0.0), min(p + margin, 1.0)], accuracy
-            ).alias("range"),
+            F.slice(sketches[c], 2 * spots[c].index(i) + 1, 2).alias("range"),
         )
-        for c, p, _ in targets
+        for i, (c, _, _) in enumerate(targets)
     ]
     sketch = values.groupBy(*keys).agg(F.array(*brackets).alias("_brackets"))
     if keys:

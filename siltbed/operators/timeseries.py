@@ -1,13 +1,16 @@
 """Per-key ordered series: daily bars, gap filling, moving features, running products.
 
-Every operator here exists for two situations.
+The windowed operators exist for two situations.
 
 * ``slice_by=None``: each key has been reduced to a bounded grain (daily bars, one row per
   year), so one window per key is small by construction.
-* ``slice_by=<expression of the order column>``: rows per key are unbounded and one key may
-  hold a large part of the table. The window then runs per (key, slice), and what it needs
-  from earlier slices comes from a small per-slice table. Results are identical; key and
-  order columns must be free of NULLs.
+* ``slice_by=<expression growing with the order column>``: rows per key are unbounded and one
+  key may hold a large part of the table. The window then runs per (key, slice) over rows
+  extended by the few rows (or the one product) that reach in from earlier slices. Those
+  come from a per-slice table: a key costs one task ``depth`` rows per slice, not all rows.
+
+Results are the same in both. Slices should be short enough for a task and long enough that
+a key has far fewer slices than rows, e.g. a month of daily rows or a day of ticks.
 """
 
 from __future__ import annotations
@@ -21,6 +24,61 @@ from pyspark.sql import functions as F
 from siltbed.functions import clip, safe_ratio, zero_to_null
 
 _SLICE = "_slice"
+_REACHING = "_reaching"
+
+
+def _extended(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    slice_by: Column,
+    depth: int,
+    columns: Sequence[str],
+    fill: bool,
+) -> DataFrame:
+    """Rows with their slice, plus copies of the ``depth`` rows before each slice.
+
+    Copies are marked in ``_reaching``, hold only order and ``columns``, and sort before
+    the slice's own rows. With ``fill`` their gaps are already filled forward, so the last
+    copy carries the value that reaches into the slice.
+    """
+    sliced = df.withColumn(_SLICE, slice_by)
+    narrow = sliced.select(*dict.fromkeys([*keys, _SLICE, *order, *columns]))
+    inside = W.partitionBy(*keys, _SLICE)
+    if fill:
+        upto = inside.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        ends = narrow.withColumns(
+            {c: F.last(c, ignorenulls=True).over(upto) for c in columns}
+            | {
+                "_place": F.row_number().over(inside.orderBy(*order)),
+                "_size": F.count(F.lit(1)).over(inside),
+            }
+        ).withColumn("_back", F.col("_size") - F.col("_place") + 1)
+    else:
+        # Spark prunes to the last rows of each slice before the shuffle.
+        ends = narrow.withColumn(
+            "_back", F.row_number().over(inside.orderBy(*[F.desc(o) for o in order]))
+        )
+    along = W.partitionBy(*keys).orderBy(_SLICE, F.desc("_back"))
+    ends = ends.filter(F.col("_back") <= depth)
+    if fill:
+        before = along.rowsBetween(W.unboundedPreceding, 0)
+        ends = ends.withColumns({c: F.last(c, ignorenulls=True).over(before) for c in columns})
+    copied = [c for c in dict.fromkeys([*order, *columns]) if c not in keys]
+    previous = F.collect_list(F.struct(*copied)).over(along.rowsBetween(-depth, -1))
+    opens_slice = F.row_number().over(inside.orderBy(F.desc("_back"))) == 1
+    reaching = (
+        ends.withColumns({"_previous": previous, "_opens": opens_slice})
+        .filter("_opens")
+        .select(*keys, _SLICE, F.inline("_previous"))
+    )
+    return sliced.withColumn(_REACHING, F.lit(False)).unionByName(
+        reaching.withColumn(_REACHING, F.lit(True)), allowMissingColumns=True
+    )
+
+
+def _own_rows(df: DataFrame) -> DataFrame:
+    return df.filter(~F.col(_REACHING)).drop(_SLICE, _REACHING)
 
 
 def daily_bars(
@@ -53,32 +111,11 @@ def forward_fill(
     slice_by: Column | None = None,
 ) -> DataFrame:
     """Replace NULLs by the last value before them in the key's order."""
-    if slice_by is None:
-        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
-
-    sliced = df.withColumn(_SLICE, slice_by)
-    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    latest = sliced.groupBy(*keys, _SLICE).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in columns]
-    )
-    before = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    carried = latest.select(
-        *keys, _SLICE, *[F.last(c, ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns]
-    )
-    inside = (
-        W.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    )
-    return (
-        sliced.join(carried, [*keys, _SLICE], "left")
-        .withColumns(
-            {
-                c: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_carry_{c}"))
-                for c in columns
-            }
-        )
-        .select(*df.columns)
-    )
+    if slice_by is not None:
+        extended = _extended(df, keys, order, slice_by, 1, columns, fill=True)
+        return _own_rows(forward_fill(extended, [*keys, _SLICE], order, columns))
+    w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
 def moving_averages(
@@ -90,54 +127,13 @@ def moving_averages(
     slice_by: Column | None = None,
 ) -> DataFrame:
     """Trailing averages over the given numbers of rows; shorter at the start of a key."""
-    if slice_by is None:
-        w = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumns(
-            {name: F.avg(column).over(w.rowsBetween(1 - n, 0)) for name, n in spans.items()}
-        )
-
-    depth = max(spans.values()) - 1
-    sliced = df.withColumn(_SLICE, slice_by)
-    rank_back = W.partitionBy(*keys, _SLICE).orderBy(*[F.desc(o) for o in order])
-    # The last `depth` rows of each slice; Spark prunes to them before the shuffle.
-    tails = (
-        sliced.select(*keys, _SLICE, *order, column)
-        .withColumn("_back", F.row_number().over(rank_back))
-        .filter(F.col("_back") <= depth)
-    )
-    along = W.partitionBy(*keys).orderBy(_SLICE, F.desc("_back"))
-    earlier = F.collect_list(F.struct(column)).over(along.rowsBetween(-depth, -1))
-    first_of_slice = F.row_number().over(
-        W.partitionBy(*keys, _SLICE).orderBy(F.desc("_back"))
-    )
-    halo = (
-        tails.withColumns({"_halo": earlier, "_first": first_of_slice})
-        .filter(F.col("_first") == 1)
-        .select(*keys, _SLICE, "_halo")
-    )
-
-    w = W.partitionBy(*keys, _SLICE).orderBy(*order)
-    joined = sliced.join(halo, [*keys, _SLICE], "left").withColumn(
-        "_i", F.row_number().over(w)
-    )
-
-    def average(n: int) -> Column:
-        frame = w.rowsBetween(1 - n, 0)
-        # Rows this frame still needs from before the slice (0 once it is filled).
-        lacking = F.greatest(F.lit(0), F.least(F.lit(n) - F.col("_i"), F.size("_halo")))
-        borrowed = F.when(
-            F.col("_halo").isNotNull() & (lacking > 0),
-            F.slice("_halo", F.greatest(F.size("_halo") - lacking + 1, F.lit(1)), lacking),
-        )
-        values = F.filter(F.transform(borrowed, lambda s: s[column].cast("double")), F.isnotnull)
-        total = F.coalesce(F.sum(column).over(frame).cast("double"), F.lit(0.0)) + F.coalesce(
-            F.aggregate(values, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)
-        )
-        count = F.count(column).over(frame) + F.coalesce(F.size(values), F.lit(0))
-        return F.when(count > 0, total / count)
-
-    return joined.withColumns({name: average(n) for name, n in spans.items()}).select(
-        *df.columns, *spans
+    if slice_by is not None:
+        depth = max(spans.values()) - 1
+        extended = _extended(df, keys, order, slice_by, depth, [column], fill=False)
+        return _own_rows(moving_averages(extended, [*keys, _SLICE], order, column, spans))
+    w = W.partitionBy(*keys).orderBy(*order)
+    return df.withColumns(
+        {name: F.avg(column).over(w.rowsBetween(1 - n, 0)) for name, n in spans.items()}
     )
 
 
@@ -151,18 +147,23 @@ def technical_features(
     """Clean an OHLCV series and add returns, range and moving averages.
 
     Zero closes and volumes count as missing and are filled forward; ratios with a zero
-    denominator are NULL.
+    denominator are NULL. All windows share one shuffle and one sort.
     """
     spans = spans or {"ma_5": 5, "ma_20": 20}
-    gaps = df.withColumns({c: zero_to_null(F.col(c)) for c in ("close", "volume")})
-    filled = forward_fill(gaps, keys, order, ["close", "volume"], slice_by)
+    gappy = ["close", "volume"]
+    series = df.withColumns({c: zero_to_null(F.col(c)) for c in gappy})
+    if slice_by is not None:
+        depth = max(spans.values()) - 1
+        extended = _extended(series, keys, order, slice_by, depth, gappy, fill=True)
+        return _own_rows(technical_features(extended, [*keys, _SLICE], order, spans))
+    filled = forward_fill(series, keys, order, gappy)
     featured = filled.withColumns(
         {
             "daily_return": safe_ratio(F.col("close") - F.col("open"), F.col("open")),
             "volatility_range": safe_ratio(F.col("high") - F.col("low"), F.col("close")),
         }
     )
-    return moving_averages(featured, keys, order, "close", spans, slice_by)
+    return moving_averages(featured, keys, order, "close", spans)
 
 
 def percent_change(
@@ -194,29 +195,27 @@ def running_product(
     ``bounds`` are multiples of ``start``; the clip applies to the reported value only, not
     to the running product.
     """
-    growth = 1 + F.col(rate)
-    if slice_by is None:
-        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        factored = df.withColumn("_factor", F.product(growth).over(w))
-    else:
-        sliced = df.withColumn(_SLICE, slice_by)
+    parts = df.withColumn("_growth", 1 + F.col(rate))
+    group = list(keys)
+    if slice_by is not None:
+        # One extra row per slice holds the product of all earlier slices; its NULL order
+        # columns sort first.
+        sliced = parts.withColumn(_SLICE, slice_by)
         before = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-        carried = (
+        reaching = (
             sliced.groupBy(*keys, _SLICE)
-            .agg(F.product(growth).alias("_whole"))
-            .select(*keys, _SLICE, F.product("_whole").over(before).alias("_carry"))
-        )
-        inside = (
-            W.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+            .agg(F.product("_growth").alias("_whole"))
+            .select(*keys, _SLICE, F.product("_whole").over(before).alias("_growth"))
+            .filter(F.col("_growth").isNotNull())
         )
-        factored = sliced.join(carried, [*keys, _SLICE], "left").withColumn(
-            "_factor",
-            F.coalesce(
-                F.col("_carry") * F.product(growth).over(inside),
-                F.col("_carry"),
-                F.product(growth).over(inside),
-            ),
+        parts = sliced.withColumn(_REACHING, F.lit(False)).unionByName(
+            reaching.withColumn(_REACHING, F.lit(True)), allowMissingColumns=True
         )
+        group.append(_SLICE)
+    w = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    factored = parts.withColumn("_factor", F.product("_growth").over(w))
+    if slice_by is not None:
+        factored = _own_rows(factored)
     value = start * F.col("_factor")
     if bounds:
         value = clip(value, start * bounds[0], start * bounds[1])

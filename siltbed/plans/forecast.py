@@ -85,7 +85,7 @@ def prepare_panel(panel: DataFrame, key: str = "country_key") -> DataFrame:
     """Numbers, medians, lags and growth; rows without a target level are dropped."""
     exogenous = [*fixed.DEMAND_FEATURES, *fixed.PRODUCTION_FEATURES]
     return (
-        panel.transform(numeric_features, [*exogenous, *fixed.FORECAST_TARGETS, "year"])
+        staged(numeric_features(panel, [*exogenous, *fixed.FORECAST_TARGETS, "year"]))
         .transform(impute_medians, key, exogenous)
         .transform(lag_and_growth, key, "year", fixed.FORECAST_TARGETS, fixed.GROWTH_BOUNDS)
         .transform(require, fixed.FORECAST_TARGETS)

@@ -54,14 +54,14 @@ forecast AS (
 
 
 def _rule_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grown = panel(spark, sf_dir).transform(lag_and_growth, "nation_key", "year", TARGETS)
+    grown = staged(lag_and_growth(panel(spark, sf_dir), "nation_key", "year", TARGETS))
     means = (
         grown.dropna(subset=["nation_key"])
         .groupBy("nation_key")
         .agg(*[F.avg(f"{t}_yoy_growth").alias(f"mean_{t}") for t in TARGETS])
     )
     snapshot = (
-        latest_snapshot(panel(spark, sf_dir), "nation_key", "year", TARGETS)
+        latest_snapshot(grown, "nation_key", "year", TARGETS)
         .join(means, "nation_key")
         .withColumn("market_growth", F.lit(0.04))
     )
@@ -110,7 +110,7 @@ SETTINGS = {"trees": 10, "depth": 4, "learning_rate": 0.1}
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared panel, staged because both models and the snapshot read it."""
-    imputed = panel(spark, sf_dir).transform(impute_medians, "nation_key", EXOGENOUS)
+    imputed = impute_medians(staged(panel(spark, sf_dir)), "nation_key", EXOGENOUS)
     return staged(imputed.transform(lag_and_growth, "nation_key", "year", TARGETS))
 
 

@@ -16,6 +16,7 @@ from siltbed.operators.features import (
 from siltbed.operators.metrics import regression_metrics
 from siltbed.operators.projection import select_once
 from siltbed.operators.quality import require
+from siltbed.sources.session import staged
 from siltbed.workload.registry import query, rounded, table
 
 TARGETS = ["order_value", "order_count"]
@@ -124,9 +125,8 @@ FROM imputed""")
 def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-level imputation; a feature no row has becomes 0."""
     features = [*EXOGENOUS, "patents"]
-    imputed = panel(spark, sf_dir).transform(numeric_features, features).transform(
-        impute_medians, "nation_key", features
-    )
+    numeric = staged(numeric_features(panel(spark, sf_dir), features))
+    imputed = impute_medians(numeric, "nation_key", features)
     return rounded(rounded(imputed, ["avg_balance", "avg_quantity"]), ["avg_discount"], 8)
 
 
@@ -186,7 +186,7 @@ split AS (
 
 @query(f"WITH {PANEL_SQL}, {SPLIT_SQL} SELECT nation_key, year, order_value, is_train FROM split")
 def chronological_split_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = chronological_split(panel(spark, sf_dir), "year")
+    split = chronological_split(staged(panel(spark, sf_dir)), "year")
     return split.select("nation_key", "year", "order_value", "is_train")
 
 
@@ -195,7 +195,7 @@ SELECT nation_key, year, order_value, order_count, order_value AS order_value_la
        order_count AS order_count_lag_1
 FROM panel WHERE year = (SELECT max(year) FROM panel)""")
 def latest_panel_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snapshot = latest_snapshot(panel(spark, sf_dir), "nation_key", "year", TARGETS)
+    snapshot = latest_snapshot(staged(panel(spark, sf_dir)), "nation_key", "year", TARGETS)
     return snapshot.drop("nation_name", *EXOGENOUS)
 
 
@@ -214,7 +214,7 @@ FROM {source} WHERE {y} IS NOT NULL AND {p} IS NOT NULL"""
 UNION ALL {_metric_sql("order_count", "order_count", "order_count_lag_1", "grown")}""")
 def regression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error measures of the naive forecast 'as last year'."""
-    grown = panel(spark, sf_dir).transform(lag_and_growth, "nation_key", "year", TARGETS)
+    grown = staged(lag_and_growth(panel(spark, sf_dir), "nation_key", "year", TARGETS))
     rows = [regression_metrics(grown, t, f"{t}_lag_1", t) for t in TARGETS]
     both = rows[0].unionByName(rows[1])
     return rounded(rounded(both, ["mae", "rmse"], 4), ["r2", "mape"])
