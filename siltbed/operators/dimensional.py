@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegralType
 
 from siltbed.functions import calendar_parts, surrogate_key, year_or_date
 
@@ -57,12 +58,25 @@ def distinct_dimension(df: DataFrame, key: str, natural: Mapping[str, str]) -> D
     return with_key(members, key, names)
 
 
+def as_date(df: DataFrame, column: str) -> Column:
+    """A year or date column as a date; typed columns skip the detour over text."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, DateType):
+        return c
+    if isinstance(kind, IntegralType):
+        return F.when(c.between(1000, 9999), F.make_date(c.cast("int"), F.lit(1), F.lit(1)))
+    return year_or_date(c)
+
+
 def date_dimension(
     years: Sequence[tuple[DataFrame, str]], dates: Sequence[tuple[DataFrame, str]]
 ) -> DataFrame:
-    """Calendar of every year (its first day) and date that occurs in the sources."""
+    """Calendar of every year (its first day) and date that occurs in the sources.
+
+    Only the distinct values of each source are converted.
+    """
     members = [
-        df.select(year_or_date(F.col(c)).alias("full_date")).distinct() for df, c in (*years, *dates)
+        df.select(c).distinct().select(as_date(df, c).alias("full_date")) for df, c in (*years, *dates)
     ]
     calendar = union_all(members).dropna(subset=["full_date"]).distinct()
     return with_key(calendar, "date_key", ["full_date"], calendar_parts("full_date"))

@@ -92,17 +92,19 @@ def lag_and_growth(
 def category_codes(df: DataFrame, column: str, out: str, slices: int = 256) -> DataFrame:
     """Ordinal code of each value among the sorted distinct values; -1 for NULL.
 
-    Counting runs per slice of the sorted values. Slice limits are a hash sample of the
-    distinct values, so they depend on the data only and need no driver round trip.
+    Counting runs per slice of the sorted values. The about ``slices`` slice limits are a
+    hash sample of the distinct values, so they depend on the data only and need no driver
+    round trip.
     """
     values = df.select(F.col(column).alias("_v")).dropna().distinct()
-    share = F.greatest(F.lit(1), df.agg(F.approx_count_distinct(column)).scalar() / slices).cast("bigint")
-    limits = values.filter(F.pmod(F.xxhash64("_v"), share) == 0).agg(
+    members = df.agg(F.approx_count_distinct(column)).scalar()
+    one_in = F.greatest(F.lit(1), (members / slices).cast("bigint"))
+    limits = values.filter(F.pmod(F.xxhash64("_v"), one_in) == 0).agg(
         F.array_sort(F.collect_list("_v"))
     )
-    sliced = values.withColumn("_limits", limits.scalar()).select(
-        "_v", F.size(F.filter("_limits", lambda x: x <= F.col("_v"))).alias("_s")
-    )
+    # Never NULL, so no NULL check on it is pushed down to the rows before the distinct.
+    passed = F.coalesce(F.size(F.filter("_limits", lambda x: x <= F.col("_v"))), F.lit(0))
+    sliced = values.withColumn("_limits", limits.scalar()).select("_v", passed.alias("_s"))
     before = F.sum("_n").over(W.orderBy("_s").rowsBetween(W.unboundedPreceding, -1))
     starts = (
         sliced.groupBy("_s")

@@ -78,31 +78,31 @@ def _exact(
         below = F.lit(None).cast("double")
         kept = F.when(v < low, below).otherwise(v)
         return F.when(
-            v <= high, F.struct(F.lit(i).alias("t"), kept.alias("v"), bracket["n"].alias("n"))
+            v <= high, F.struct(F.lit(i).alias("_t"), kept.alias("_v"), bracket["n"].alias("_n"))
         )
 
     near = F.array(*[entry(i, c) for i, (c, _, _) in enumerate(targets)])
     counted = (
         ranged.select(*keys, F.inline(F.filter(near, F.isnotnull)))
-        .groupBy(*keys, "t", "n", "v")
-        .agg(F.count(F.lit(1)).alias("k"))
+        .groupBy(*keys, "_t", "_n", "_v")
+        .agg(F.count(F.lit(1)).alias("_k"))
     )
-    along = W.partitionBy(*keys, "t").orderBy(F.asc_nulls_first("v"))
-    last = F.sum("k").over(along.rowsBetween(W.unboundedPreceding, 0))
-    placed = counted.withColumns({"last": last, "first": last - F.col("k") + 1})
+    along = W.partitionBy(*keys, "_t").orderBy(F.asc_nulls_first("_v"))
+    last = F.sum("_k").over(along.rowsBetween(W.unboundedPreceding, 0))
+    placed = counted.withColumns({"_last": last, "_first": last - F.col("_k") + 1})
 
     picks = []
     for i, (_, p, name) in enumerate(targets):
         if interpolate:
             # Ranks of the one or two middle values.
-            lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+            lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
         else:
-            lower = upper = F.greatest(F.ceil(F.col("n") * p), F.lit(1))
-        mine = (F.col("t") == i) & F.col("v").isNotNull()
+            lower = upper = F.greatest(F.ceil(F.col("_n") * p), F.lit(1))
+        mine = (F.col("_t") == i) & F.col("_v").isNotNull()
 
         def at(rank: Column, mine: Column = mine) -> Column:
-            hit = mine & rank.between(F.col("first"), F.col("last"))
-            return F.max(F.when(hit, F.col("v")))
+            hit = mine & rank.between(F.col("_first"), F.col("_last"))
+            return F.max(F.when(hit, F.col("_v")))
 
         low, high = at(lower), at(upper)
         found = low.isNotNull() & high.isNotNull()
@@ -110,7 +110,7 @@ def _exact(
         missed = F.raise_error(F.lit(f"rank of {name} outside its bracket; raise accuracy"))
         picks.append(
             F.when(found, (low + high) / 2)
-            .when(F.count_if(F.col("t") == i) > 0, missed.cast("double"))
+            .when(F.count_if(F.col("_t") == i) > 0, missed.cast("double"))
             .alias(name)
         )
     return placed.groupBy(*keys).agg(*picks)

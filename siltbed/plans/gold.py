@@ -11,8 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.functions import first_match, lookup_map, lower_trim, surrogate_key, year_or_date
+from siltbed.functions import first_match, lookup_map, lower_trim, surrogate_key
 from siltbed.operators.dimensional import (
+    as_date,
     date_dimension,
     distinct_dimension,
     enrich,
@@ -110,7 +111,7 @@ def _by_name(fact: DataFrame, dim: DataFrame, fact_name: str, dim_name: str, key
 
 
 def _dated(fact: DataFrame, dim: DataFrame, column: str) -> DataFrame:
-    dated = fact.withColumn("full_date", year_or_date(F.col(column)))
+    dated = fact.withColumn("full_date", as_date(fact, column))
     return lookup_key(dated, dim, {"full_date": "full_date"}, "date_key")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.functions import first_match, lookup_map, lower_trim, surrogate_key, year_or_date
+from siltbed.functions import first_match, lookup_map, lower_trim, surrogate_key
 from siltbed.operators.dimensional import (
+    as_date,
     conform,
     date_dimension,
     distinct_dimension,
@@ -148,7 +149,8 @@ def fact_outer_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     countries = distinct_dimension(orders, "country_key", {"o_orderpriority": "country_name"})
     dates = date_dimension([(demand, "year"), (market, "year")], [])
-    fact = outer_enrich(demand, market, ["year"]).withColumn("full_date", year_or_date(F.col("year")))
+    fact = outer_enrich(demand, market, ["year"])
+    fact = fact.withColumn("full_date", as_date(fact, "year"))
     fact = lookup_key(fact, dates, {"full_date": "full_date"}, "date_key")
     fact = lookup_key(fact, countries, {"country": "country_name"}, "country_key")
     return fact.select(
@@ -299,7 +301,7 @@ def fact_composite_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "_company": lower_trim(F.col("company_name")),
             "_node": F.col("node_size").cast("double"),
-            "full_date": year_or_date(F.col("year")),
+            "full_date": as_date(fact, "year"),
         }
     )
     fact = lookup_key(fact, companies, {"_company": "name"}, "company_key")
@@ -367,7 +369,8 @@ def fact_region_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         disruption,
         [(F.col("year"), F.col("year")), (F.col("region_name"), lower_trim(F.col("region")))],
         ["disruptions"],
-    ).withColumn("full_date", year_or_date(F.col("year")))
+    )
+    fact = fact.withColumn("full_date", as_date(fact, "year"))
     names = table(spark, sf_dir, "region").select(lower_trim(F.col("r_name")).alias("name"))
     regions = distinct_dimension(names, "region_key", {"name": "name"})
     dates = date_dimension([(risk, "year")], [])
