@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -96,7 +97,8 @@ def html_rows(
             source = batch[list(keep)].iloc[rows["_i"].astype("int64")].reset_index(drop=True)
             yield pd.concat([source, rows.drop(columns="_i")], axis=1)
 
-    source = pages.select(*keep, html) if html not in keep else pages.select(*keep)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema)
-    texts = ", ".join(f"`{f}` string" for f in fields)
-    return source.mapInPandas(parse, f"{kept}, row_number int, {texts}")
+    kept = pages.select(*keep)
+    schema = StructType(list(kept.schema.fields)).add("row_number", IntegerType())
+    for field in fields:
+        schema = schema.add(field, StringType())
+    return pages.select(*dict.fromkeys([*keep, html])).mapInPandas(parse, schema)
