@@ -53,12 +53,9 @@ def train_growth_model(
     return booster.fit(assemble(train, features).select("_features", target))
 
 
-def model_predictor(model: GBTRegressionModel, features: Sequence[str]) -> Predictor:
-    def predict(df: DataFrame, out: str) -> DataFrame:
-        scored = model.transform(assemble(df, features))
-        return scored.withColumnRenamed("_prediction", out).drop("_features")
-
-    return predict
+def model_predictor(model: GBTRegressionModel) -> Predictor:
+    """Predictor from a model; the frame holds the assembled ``_features``."""
+    return lambda df, out: model.transform(df, {model.predictionCol: out})
 
 
 def column_predictor(growth: Column) -> Predictor:
@@ -69,7 +66,7 @@ def column_predictor(growth: Column) -> Predictor:
 def evaluate_model(
     model: GBTRegressionModel, test: DataFrame, features: Sequence[str], target: str
 ) -> DataFrame:
-    scored = model_predictor(model, features)(test, "_predicted")
+    scored = model_predictor(model)(assemble(test, features), "_predicted")
     return regression_metrics(scored, target, "_predicted", target)
 
 
@@ -89,39 +86,42 @@ def recursive_forecast(
     predictors: Mapping[str, Predictor],
     years: Sequence[int],
     period: str = "year",
+    features: Sequence[str] | None = None,
     feedback: Mapping[str, str] | None = None,
     feedback_scale: float = 1.0,
 ) -> DataFrame:
     """Forecast levels year by year, each step feeding the next.
 
-    ``predictors`` give a growth rate per target level. A step compounds the levels, rolls
-    ``<target>_lag_1`` and, for ``feedback={feature: target}``, stores the predicted growth
-    (times ``feedback_scale``) as that feature for the next step.
+    ``predictors`` give a growth rate per target level; ``features`` are assembled once per
+    step for those that are models. A step compounds the levels, rolls ``<target>_lag_1``
+    and, for ``feedback={feature: target}``, stores the predicted growth (times
+    ``feedback_scale``) as that feature for the next step.
 
     The whole horizon is one narrow chain of projections over one row per key: no shuffle,
     no job per step and no lineage to cut. The steps become rows in a last explode.
     """
+    columns = list(dict.fromkeys([*snapshot.columns, *[f"{t}_lag_1" for t in predictors], *(feedback or {})]))
+    kind = snapshot.schema[period].dataType
     state, steps = snapshot, []
-    carried = list(snapshot.columns)
     for i, year in enumerate(years):
-        state = state.withColumn(period, F.lit(year).cast(snapshot.schema[period].dataType))
+        state = state.withColumn(period, F.lit(year).cast(kind))
+        if features:
+            state = assemble(state, features)
         for target, predict in predictors.items():
             state = predict(state, f"_growth_{target}")
-        grown = {t: F.col(t) * (1 + F.col(f"_growth_{t}")) for t in predictors}
-        state = state.withColumns({f"_next_{t}": level for t, level in grown.items()})
+        level = {t: F.col(t) * (1 + F.col(f"_growth_{t}")) for t in predictors}
         step = F.struct(
             F.lit(year).cast("int").alias("forecast_year"),
-            *[F.col(f"_next_{t}").alias(f"predicted_{t}") for t in predictors],
+            *[c.alias(f"predicted_{t}") for t, c in level.items()],
+        )
+        changed = {f"{t}_lag_1": F.col(t) for t in predictors} | level
+        changed |= {f: F.col(f"_growth_{t}") * feedback_scale for f, t in (feedback or {}).items()}
+        state = state.select(
+            *[changed[c].alias(c) if c in changed else F.col(c) for c in columns],
+            *steps,
+            step.alias(f"_step_{i}"),
         )
         steps.append(f"_step_{i}")
-        update = {f"_step_{i}": step}
-        update |= {f"{t}_lag_1": F.col(t) for t in predictors}
-        update |= {t: F.col(f"_next_{t}") for t in predictors}
-        update |= {
-            f: F.col(f"_growth_{t}") * feedback_scale for f, t in (feedback or {}).items()
-        }
-        state = state.withColumns(update).select(*dict.fromkeys([*carried, *update]), *steps[:-1])
-        carried = [c for c in state.columns if c not in steps]
     return state.select(*keys, F.inline(F.array(*steps)))
 
 

@@ -51,66 +51,63 @@ def _exact(
 
     # One sketch per column serves all its fractions.
     spots = {c: [i for i, t in enumerate(targets) if t[0] == c] for c in columns}
-    sketches = {
-        c: F.percentile_approx(
-            f"_v_{c}",
-            [q for i in spots[c] for q in (max(targets[i][1] - margin, 0.0), min(targets[i][1] + margin, 1.0))],
-            accuracy,
-        )
-        for c in columns
-    }
+    edges = {c: [min(max(targets[i][1] + e, 0.0), 1.0) for i in spots[c] for e in (-margin, margin)] for c in columns}
+    sketch = values.groupBy(*keys).agg(
+        *[F.count(f"_v_{c}").alias(f"_n_{c}") for c in columns],
+        *[F.percentile_approx(f"_v_{c}", edges[c], accuracy).alias(f"_q_{c}") for c in columns],
+    )
     brackets = [
         F.struct(
-            F.count(f"_v_{c}").alias("n"),
-            F.slice(sketches[c], 2 * spots[c].index(i) + 1, 2).alias("range"),
+            F.col(f"_n_{c}").alias("n"),
+            F.get(f"_q_{c}", 2 * spots[c].index(i)).alias("low"),
+            F.get(f"_q_{c}", 2 * spots[c].index(i) + 1).alias("high"),
         )
         for i, (c, _, _) in enumerate(targets)
     ]
-    sketch = values.groupBy(*keys).agg(F.array(*brackets).alias("_brackets"))
+    bracketed = sketch.select(*keys, F.array(*brackets).alias("_b"))
     if keys:
-        ranged = values.join(sketch, list(keys))
+        ranged = values.join(bracketed, list(keys))
     else:
-        ranged = values.withColumn("_brackets", sketch.scalar())
-
-    def entry(i: int, column: str) -> Column:
-        v, bracket = F.col(f"_v_{column}"), F.col("_brackets")[i]
-        low, high = bracket["range"][0], bracket["range"][1]
-        below = F.lit(None).cast("double")
-        kept = F.when(v < low, below).otherwise(v)
-        return F.when(
-            v <= high, F.struct(F.lit(i).alias("_t"), kept.alias("_v"), bracket["n"].alias("_n"))
-        )
+        ranged = values.withColumn("_b", bracketed.scalar())
 
-    near = F.array(*[entry(i, c) for i, (c, _, _) in enumerate(targets)])
+    # One short row per value up to its bracket; those below it merge into a count.
+    value, bracket = F.col("_v"), F.col("_b")
     counted = (
-        ranged.select(*keys, F.inline(F.filter(near, F.isnotnull)))
-        .groupBy(*keys, "_t", "_n", "_v")
+        ranged.select(
+            *keys,
+            F.array(*[F.lit(i) for i in range(len(targets))]).alias("_t"),
+            F.array(*[F.col(f"_v_{c}") for c, _, _ in targets]).alias("_v"),
+            "_b",
+        )
+        .select(*keys, F.inline(F.arrays_zip("_t", "_v", "_b")))
+        .filter(value <= bracket["high"])
+        .groupBy(
+            *keys,
+            "_t",
+            bracket["n"].alias("_n"),
+            F.when(value >= bracket["low"], value).alias("_v"),
+        )
         .agg(F.count(F.lit(1)).alias("_k"))
     )
     along = W.partitionBy(*keys, "_t").orderBy(F.asc_nulls_first("_v"))
     last = F.sum("_k").over(along.rowsBetween(W.unboundedPreceding, 0))
-    placed = counted.withColumns({"_last": last, "_first": last - F.col("_k") + 1})
-
-    picks = []
-    for i, (_, p, name) in enumerate(targets):
-        if interpolate:
-            # Ranks of the one or two middle values.
-            lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-        else:
-            lower = upper = F.greatest(F.ceil(F.col("_n") * p), F.lit(1))
-        mine = (F.col("_t") == i) & F.col("_v").isNotNull()
-
-        def at(rank: Column, mine: Column = mine) -> Column:
-            hit = mine & rank.between(F.col("_first"), F.col("_last"))
-            return F.max(F.when(hit, F.col("_v")))
-
-        low, high = at(lower), at(upper)
-        found = low.isNotNull() & high.isNotNull()
-        # Never return a guess: a bracket that missed its rank stops the job.
-        missed = F.raise_error(F.lit(f"rank of {name} outside its bracket; raise accuracy"))
-        picks.append(
-            F.when(found, (low + high) / 2)
-            .when(F.count_if(F.col("_t") == i) > 0, missed.cast("double"))
-            .alias(name)
-        )
-    return placed.groupBy(*keys).agg(*picks)
+    placed = counted.withColumn("_last", last).withColumn("_first", F.col("_last") - F.col("_k") + 1)
+
+    if interpolate:
+        # Ranks of the one or two middle values.
+        lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    else:
+        fraction = F.get(F.array(*[F.lit(float(p)) for _, p, _ in targets]), F.col("_t"))
+        lower = upper = F.greatest(F.ceil(F.col("_n") * fraction), F.lit(1))
+
+    def at(rank: Column) -> Column:
+        hit = value.isNotNull() & rank.between(F.col("_first"), F.col("_last"))
+        return F.max(F.when(hit, value))
+
+    picked = placed.groupBy(*keys, "_t").agg(((at(lower) + at(upper)) / 2).alias("_pick"))
+    # Never return a guess: a bracket that missed its rank stops the job.
+    missed = F.raise_error(F.lit("a rank lies outside its bracket; raise accuracy")).cast("double")
+    sure = picked.withColumn("_pick", F.coalesce("_pick", missed))
+    return sure.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_t") == i, F.col("_pick"))).alias(n) for i, (_, _, n) in enumerate(targets)]
+    )

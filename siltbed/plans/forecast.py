@@ -116,7 +116,7 @@ def forecast_tables(
         model = train_growth_model(
             train, fixed.FORECAST_FEATURES, growth, **(settings or fixed.MODEL_SETTINGS)
         )
-        models[target] = model_predictor(model, fixed.FORECAST_FEATURES)
+        models[target] = model_predictor(model)
         evaluations.append(evaluate_model(model, test, fixed.FORECAST_FEATURES, growth))
         importances.append(feature_importance(spark, model, fixed.FORECAST_FEATURES, growth))
 
@@ -126,6 +126,7 @@ def forecast_tables(
         [key, name],
         models,
         years,
+        features=fixed.FORECAST_FEATURES,
         feedback={"market_growth_rate": "ai_chip_revenue"},
         feedback_scale=feedback_scale,
     )

@@ -140,6 +140,6 @@ def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = _prepared(spark, sf_dir)
     models, _ = _models(prepared)
     snapshot = latest_snapshot(prepared, "nation_key", "year", TARGETS)
-    predictors = {t: model_predictor(m, FEATURES) for t, m in models.items()}
-    forecast = recursive_forecast(snapshot, KEYS, predictors, YEARS)
+    predictors = {t: model_predictor(m) for t, m in models.items()}
+    forecast = recursive_forecast(snapshot, KEYS, predictors, YEARS, features=FEATURES)
     return forecast_table(forecast, *KEYS, value="predicted_order_value", out="growth")

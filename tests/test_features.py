@@ -170,7 +170,9 @@ def test_boosted_model_learns_and_forecasts(spark, frame):
     assert [r.feature_name for r in importance][0] == "x"
     assert sum(r.importance for r in importance) == pytest.approx(1.0)
     start = frame([("k", 1, 80.0, None, 10.0)], "k string, year int, x double, noise double, v double")
-    forecast = fc.recursive_forecast(start, ["k"], {"v": fc.model_predictor(model, ["x", "noise"])}, [2, 3])
+    forecast = fc.recursive_forecast(
+        start, ["k"], {"v": fc.model_predictor(model)}, [2, 3], features=["x", "noise"]
+    )
     first, second = forecast.orderBy("forecast_year").collect()
     growth = first.predicted_v / 10 - 1
     assert growth == pytest.approx(0.5, abs=0.1)
