@@ -58,20 +58,21 @@ def lag_and_growth(
     Missing lags are filled from the next one, then from the previous one, then 0; growth is
     0 for a zero lag and clipped otherwise. The panel holds one row per key and period, so a
     key's window is bounded by the number of periods. Rows without a key form no series:
-    they are spread over many windows, get no lag and zero growth.
+    they are spread over many windows, get no lag and zero growth. The explicit shuffle keeps
+    an earlier partitioning by the key alone from gathering them again.
     """
-    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(256)))
-    staged = df.withColumn("_spread", spread)
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*df.columns))
+    spaced = df.withColumn("_spread", spread).repartition(key, "_spread")
     w = W.partitionBy(key, "_spread").orderBy(order)
     ahead = w.rowsBetween(0, W.unboundedFollowing)
     behind = w.rowsBetween(W.unboundedPreceding, 0)
     keyed = F.col(key).isNotNull()
 
-    staged = staged.withColumns({f"{t}_lag_1": F.when(keyed, F.lag(t).over(w)) for t in targets})
-    staged = staged.withColumns(
+    spaced = spaced.withColumns({f"{t}_lag_1": F.when(keyed, F.lag(t).over(w)) for t in targets})
+    spaced = spaced.withColumns(
         {f"{t}_lag_1": F.first(f"{t}_lag_1", ignorenulls=True).over(ahead) for t in targets}
     )
-    staged = staged.withColumns(
+    spaced = spaced.withColumns(
         {
             f"{t}_lag_1": F.when(
                 keyed,
@@ -86,7 +87,7 @@ def lag_and_growth(
         change = F.when(lag != 0, (F.col(t) - lag) / lag)
         return F.coalesce(clip(change, *bounds), F.lit(0.0))
 
-    return staged.withColumns({f"{t}_yoy_growth": growth(t) for t in targets}).drop("_spread")
+    return spaced.withColumns({f"{t}_yoy_growth": growth(t) for t in targets}).drop("_spread")
 
 
 def category_codes(df: DataFrame, column: str, out: str, slices: int = 256) -> DataFrame:

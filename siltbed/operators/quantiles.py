@@ -64,11 +64,14 @@ def _exact(
         )
         for i, (c, _, _) in enumerate(targets)
     ]
-    bracketed = sketch.select(*keys, F.array(*brackets).alias("_b"))
     if keys:
-        ranged = values.join(bracketed, list(keys))
+        # Joined on the packed key: the aggregate below then needs a shuffle of its own, so
+        # adaptive execution is free to split a hot key of this join.
+        packed = F.struct(*keys).alias("_key")
+        bracketed = sketch.select(packed, F.array(*brackets).alias("_b"))
+        ranged = values.select("*", packed).join(bracketed, "_key")
     else:
-        ranged = values.withColumn("_b", bracketed.scalar())
+        ranged = values.withColumn("_b", sketch.select(F.array(*brackets)).scalar())
 
     # One short row per value up to its bracket; those below it merge into a count.
     value, bracket = F.col("_v"), F.col("_b")

@@ -10,7 +10,8 @@ The windowed operators exist for two situations.
   come from a per-slice table: a key costs one task ``depth`` rows per slice, not all rows.
 
 Results are the same in both. Slices should be short enough for a task and long enough that
-a key has far fewer slices than rows, e.g. a month of daily rows or a day of ticks.
+a key has far fewer slices than rows, e.g. a month of daily rows or an hour of ticks. Where no
+such expression bounds a slice, :func:`range_sliced` cuts the table by size.
 """
 
 from __future__ import annotations
@@ -22,11 +23,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltbed.functions import clip, safe_ratio, zero_to_null
+from siltbed.sources.session import staged
 
 _SLICE = "_slice"
 _REACHING = "_reaching"
 
 
+def range_sliced(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "range_slice"
+) -> DataFrame:
+    """Cut the table into even ranges of (keys, order), numbered in ``out`` for ``slice_by``.
+
+    Range partitioning samples the data, so a hot key gets as many slices as its size asks
+    for, whatever its distribution. The numbering is staged: limits sampled anew would not
+    be the same twice.
+    """
+    return staged(df.repartitionByRange(*keys, *order).withColumn(out, F.spark_partition_id()))
+
+
 def _extended(
     df: DataFrame,
     keys: Sequence[str],

@@ -11,6 +11,7 @@ from siltbed.operators.timeseries import (
     forward_fill,
     moving_averages,
     percent_change,
+    range_sliced,
     running_product,
     technical_features,
 )
@@ -126,13 +127,13 @@ def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {TICKS_SQL} SELECT * FROM filled""")
 def forward_fill_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events: few keys, each with a large part of all rows, filled day slice by slice."""
+    """Raw events: few keys, each with a large part of all rows, filled hour by hour."""
     return forward_fill(
         _ticks(spark, sf_dir),
         ["event_type"],
         ["ts", "event_id"],
         ["value"],
-        slice_by=F.col("ts").cast("date"),
+        slice_by=F.date_trunc("hour", "ts"),
     )
 
 
@@ -144,15 +145,13 @@ SELECT event_type, ts, event_id, value,
              ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 6) + 0.0 AS ma_20
 FROM ticks""")
 def moving_average_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events again, in slices of even size whatever the keys."""
+    order = ["ts", "event_id"]
+    sliced = range_sliced(_ticks(spark, sf_dir), ["event_type"], order)
     averaged = moving_averages(
-        _ticks(spark, sf_dir),
-        ["event_type"],
-        ["ts", "event_id"],
-        "value",
-        {"ma_5": 5, "ma_20": 20},
-        slice_by=F.col("ts").cast("date"),
+        sliced, ["event_type"], order, "value", {"ma_5": 5, "ma_20": 20}, F.col("range_slice")
     )
-    return rounded(averaged, ["ma_5", "ma_20"])
+    return rounded(averaged, ["ma_5", "ma_20"]).drop("range_slice")
 
 
 PATH_SQL = f"""WITH {BARS_SQL}, paths AS (
@@ -195,7 +194,7 @@ def running_product_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rate",
         F.lit(100.0),
         "price",
-        slice_by=F.col("ts").cast("date"),
+        slice_by=F.date_trunc("hour", "ts"),
     )
     return rounded(path, ["price"]).drop("rate")
 

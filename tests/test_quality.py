@@ -144,3 +144,16 @@ def test_reports_stay_lazy(spark):
     q.profile(df)
     exact_medians(df, ["v"])
     assert list(tracker.getJobIdsForGroup(group)) == []
+
+
+def test_hot_key_join_feeds_its_own_shuffle(spark, frame):
+    """Without it adaptive execution could not split a hot key of the bracket join."""
+    df = frame([("a", 1.0)], "k string, v double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = exact_medians(df, ["v"], ["k"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    above_join = plan[: plan.index("SortMergeJoin")]
+    assert "hashpartitioning(k" in above_join and "_v" in above_join[above_join.rindex("Exchange") :]

@@ -14,6 +14,7 @@ from siltbed.operators.timeseries import (
     forward_fill,
     moving_averages,
     percent_change,
+    range_sliced,
     running_product,
     technical_features,
 )
@@ -115,6 +116,27 @@ def test_sliced_features_equal_whole_keys(frame):
         assert tuple(a) == pytest.approx(tuple(b), nan_ok=True) or list(a) == list(b)
 
 
+def test_range_slices_split_a_hot_key(spark, frame):
+    rows = series(12, 400, 0.4)
+    df = frame(rows, "k string, n int, v double").repartition(3)
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = range_sliced(df, ["k"], ["n"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    sizes = {r.range_slice: r["count"] for r in cut.groupBy("range_slice").count().collect()}
+    assert len(sizes) > 2 and max(sizes.values()) < 300
+    got = forward_fill(cut, ["k"], ["n"], ["v"], F.col("range_slice")).drop("range_slice")
+    want = forward_fill(df, ["k"], ["n"], ["v"])
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+    spans = {"a": 20}
+    got = moving_averages(cut, ["k"], ["n"], "v", spans, F.col("range_slice")).drop("range_slice")
+    want = moving_averages(df, ["k"], ["n"], "v", spans)
+    for a, b in zip(got.orderBy("k", "n").collect(), want.orderBy("k", "n").collect()):
+        assert tuple(a)[:3] == tuple(b)[:3] and (a.a == b.a or a.a == pytest.approx(b.a))
+
+
 def test_technical_features_rules(frame):
     rows = [
         ("a", 1, 2.0, 4.0, 1.0, None, 0),
