@@ -117,6 +117,11 @@ def null_fk_report(df: DataFrame, foreign_keys: Sequence[str]) -> DataFrame:
     )
 
 
+def null_fk_rows(df: DataFrame, foreign_keys: Sequence[str]) -> DataFrame:
+    """The rows counted by :func:`null_fk_report`; take a ``limit`` of them to look at."""
+    return df.filter(any_null(foreign_keys))
+
+
 def row_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row with the counts around a step: removed, added or unchanged."""
     counts = before.agg(F.count(F.lit(1)).alias("rows_before")).withColumn(

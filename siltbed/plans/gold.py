@@ -22,7 +22,7 @@ from siltbed.operators.dimensional import (
     union_members,
     with_key,
 )
-from siltbed.operators.quality import grain_check, null_fk_report
+from siltbed.operators.quality import grain_check, null_fk_report, null_fk_rows
 from siltbed.plans import fixed_values as fixed
 from siltbed.sources.readers import read_table
 from siltbed.sources.writers import WriteResult, write_table
@@ -277,10 +277,15 @@ FACT_CHECKS = {
 
 
 def fact_checks(spark: SparkSession, lake: str, fact: str) -> dict[str, DataFrame]:
-    """Lazy one-row reports on a stored fact."""
+    """Lazy reports on a stored fact: two one-row checks and a few rows to look at."""
     key, foreign_keys = FACT_CHECKS[fact]
     stored = read_table(spark, f"{lake}/{fixed.GOLD_FACTS}/{fact}")
-    return {"grain": grain_check(stored, [key]), "foreign_keys": null_fk_report(stored, foreign_keys)}
+    return {
+        "grain": grain_check(stored, [key]),
+        "foreign_keys": null_fk_report(stored, foreign_keys),
+        "sample": stored.limit(20),
+        "null_foreign_keys_sample": null_fk_rows(stored, foreign_keys).limit(5),
+    }
 
 
 def build_gold(spark: SparkSession, lake: str) -> dict[str, WriteResult]:

@@ -23,12 +23,17 @@ def use_checkpoints(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def staging_path(spark: SparkSession) -> str:
+    """A new path in the checkpoint folder."""
+    return f"{use_checkpoints(spark)}/staged-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write an intermediate table once and read it back.
 
     For a result that several later passes read: its plan runs once, lost executors cost no
     recomputation, and being parquet it still offers column pruning and a known size.
     """
-    path = f"{use_checkpoints(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -8,6 +8,7 @@ from siltbed.workload import (  # noqa: F401 - importing registers the queries
     panel,
     quality,
     series,
+    storage,
 )
 from siltbed.workload.registry import ORACLES, QUERIES
 

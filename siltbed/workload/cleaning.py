@@ -43,7 +43,7 @@ SELECT c_custkey AS key, CAST(NULL AS DOUBLE) AS name,
        CASE WHEN NOT contains(CAST(c_acctbal AS VARCHAR), '.') THEN CAST(c_acctbal AS BIGINT) END AS balance_text,
        CAST(trunc(c_acctbal) AS BIGINT) AS balance, CAST(c_nationkey AS DOUBLE) AS nation_text,
        c_mktsegment AS extra, CAST(NULL AS DOUBLE) AS absent
-FROM customer""")
+FROM customer""", name="safe_cast")
 def safe_cast_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared types applied leniently; unknown types, absent and extra columns tolerated."""
     raw = table(spark, sf_dir, "customer").select(
@@ -82,7 +82,7 @@ def unit_suffix_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""
 SELECT doc_id, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS text,
        lower(trim(regexp_replace(source, '\s+', ' ', 'g'))) AS source
-FROM documents""")
+FROM documents""", name="normalise_text")
 def normalise_document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -103,7 +103,7 @@ def normalise_all_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p_partkey,
        CASE WHEN p_type IN ('PROMO', 'ECONOMY') THEN NULL
             ELSE round(CAST(CAST(p_retailprice AS FLOAT) AS DOUBLE), 2) END AS price
-FROM part""")
+FROM part""", name="parse_price")
 def parse_price_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.format_number("p_retailprice", 2)
     text = (
@@ -130,7 +130,7 @@ SELECT p_partkey, raw, CASE
   WHEN lower(trim(raw)) IN ('per unit', '/unit', 'unit') THEN 'unit'
   WHEN lower(trim(raw)) IN ('usd', 'us$', '$', 'u.s. dollar') THEN 'USD'
   ELSE nullif(trim(raw), '') END AS unit
-FROM raw""")
+FROM raw""", name="canonical_unit")
 def canonical_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     spellings = F.array(*[F.lit(u) for u in UNIT_SPELLINGS])
     raw = F.get(spellings, F.col("p_size") % len(UNIT_SPELLINGS)).alias("raw")
@@ -145,7 +145,7 @@ def canonical_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_orderkey, CASE o_orderstatus
          WHEN 'F' THEN make_date(year(o_orderdate), 1, 1)
          WHEN 'O' THEN CAST(o_orderdate AS DATE) END AS date
-FROM orders""")
+FROM orders""", name="year_or_date")
 def year_or_date_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years, timestamps as text and malformed text in one column."""
     raw = (

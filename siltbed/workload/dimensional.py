@@ -406,7 +406,7 @@ def config_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT l_suppkey, year(l_shipdate)::INT AS year, round(avg(l_quantity), 6) + 0.0 AS l_quantity,
        round(avg(l_discount), 6) + 0.0 AS l_discount, round(avg(l_tax), 6) + 0.0 AS l_tax
-FROM lineitem GROUP BY ALL""")
+FROM lineitem GROUP BY ALL""", name="panel_avg")
 def panel_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["l_quantity", "l_discount", "l_tax"]
     lines = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))

@@ -14,7 +14,7 @@ from siltbed.workload.registry import query, table
 SELECT page_id, url, coalesce(nullif(regexp_extract(
          regexp_replace(regexp_replace(url, '[?#].*$', ''), '^https?://[^/]*', ''), '([^/]*)/*$', 1), ''),
        'general') AS category
-FROM pages""")
+FROM pages""", name="url_category")
 def page_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return pages.withColumn("category", url_category(F.col("url")))
@@ -27,7 +27,7 @@ WITH lists AS (
 items AS (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) AS n FROM lists)
 SELECT page_id, CAST(n - 1 AS INT) AS row_number,
        trim(replace(regexp_extract(item, '<a [^>]*>(.*?)</a>', 1), '&amp;', '&')) AS label, '' AS detail
-FROM items WHERE n > 1""")
+FROM items WHERE n > 1""", name="html_rows")
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the first list on each page; the first entry is a header, the second field is absent."""
     return html_rows(

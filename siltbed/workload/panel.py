@@ -167,7 +167,7 @@ def lag_fill_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT c_custkey, name, coalesce(dense_rank() OVER (ORDER BY name NULLS LAST) - 1, -1) AS code FROM (
   SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_name END AS name FROM customer) WHERE name IS NOT NULL
-UNION ALL SELECT c_custkey, NULL, -1 FROM customer WHERE c_acctbal < 0""")
+UNION ALL SELECT c_custkey, NULL, -1 FROM customer WHERE c_acctbal < 0""", name="category_codes")
 def category_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordinal codes of as many names as there are customers, -1 for the missing ones."""
     named = table(spark, sf_dir, "customer").select(
@@ -184,7 +184,7 @@ split AS (
   FROM panel p JOIN years USING (year))"""
 
 
-@query(f"WITH {PANEL_SQL}, {SPLIT_SQL} SELECT nation_key, year, order_value, is_train FROM split")
+@query(f"WITH {PANEL_SQL}, {SPLIT_SQL} SELECT nation_key, year, order_value, is_train FROM split", name="chronological_split")
 def chronological_split_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = chronological_split(staged(panel(spark, sf_dir)), "year")
     return split.select("nation_key", "year", "order_value", "is_train")
@@ -193,7 +193,7 @@ def chronological_split_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {PANEL_SQL}
 SELECT nation_key, year, order_value, order_count, order_value AS order_value_lag_1,
        order_count AS order_count_lag_1
-FROM panel WHERE year = (SELECT max(year) FROM panel)""")
+FROM panel WHERE year = (SELECT max(year) FROM panel)""", name="latest_snapshot")
 def latest_panel_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = latest_snapshot(staged(panel(spark, sf_dir)), "nation_key", "year", TARGETS)
     return snapshot.drop("nation_name", *EXOGENOUS)
@@ -211,7 +211,7 @@ FROM {source} WHERE {y} IS NOT NULL AND {p} IS NOT NULL"""
 
 @query(f"""WITH {PANEL_SQL}, {GROWTH_SQL}
 {_metric_sql("order_value", "order_value", "order_value_lag_1", "grown")}
-UNION ALL {_metric_sql("order_count", "order_count", "order_count_lag_1", "grown")}""")
+UNION ALL {_metric_sql("order_count", "order_count", "order_count_lag_1", "grown")}""", name="regression_metrics")
 def regression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error measures of the naive forecast 'as last year'."""
     grown = staged(lag_and_growth(panel(spark, sf_dir), "nation_key", "year", TARGETS))

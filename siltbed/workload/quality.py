@@ -179,7 +179,7 @@ SELECT 'orders' AS source_name, count(*) AS row_count,
        count(*) - count(price) AS nulls_price, count_if(date = 'soon') AS invalid_date_count,
        count(*) = 0 AS is_empty, 'status' AS missing_columns, 'price' AS unexpected_columns,
        1 AS type_mismatches, FALSE AS passed, 2 AS issues
-FROM raw""")
+FROM raw""", name="validation_report")
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, duplicates, NULLs, bad dates and schema gaps in one report."""
     status = F.col("o_orderstatus")
@@ -216,20 +216,33 @@ def grain_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.grain_check(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def _keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the key of a customer in good standing and of a settled status."""
+    customers = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select("c_custkey")
+    dim = with_key(customers, "customer_key", ["c_custkey"])
+    facts = lookup_key(table(spark, sf_dir, "orders"), dim, {"o_custkey": "c_custkey"}, "customer_key")
+    settled = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    return facts.withColumn("status_key", settled)
+
+
 @query("""
 SELECT count(*) AS total_rows, count_if(c_custkey IS NULL OR o_orderstatus = 'P') AS null_fk_rows,
        round(100.0 * count_if(c_custkey IS NULL OR o_orderstatus = 'P') / count(*), 6) AS null_pct
 FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey""")
 def null_fk_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders that find no customer in good standing or carry no settled status."""
-    customers = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select("c_custkey")
-    dim = with_key(customers, "customer_key", ["c_custkey"])
-    facts = lookup_key(table(spark, sf_dir, "orders"), dim, {"o_custkey": "c_custkey"}, "customer_key")
-    settled = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
-    report = q.null_fk_report(facts.withColumn("status_key", settled), ["customer_key", "status_key"])
+    report = q.null_fk_report(_keyed_orders(spark, sf_dir), ["customer_key", "status_key"])
     return rounded(report, ["null_pct"])
 
 
+@query("""
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status_key
+FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey
+WHERE c_custkey IS NULL OR o_orderstatus = 'P'""")
+def null_fk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = q.null_fk_rows(_keyed_orders(spark, sf_dir), ["customer_key", "status_key"])
+    return rows.select("o_orderkey", "o_custkey", "status_key")
+
+
 @query("""
 SELECT count(*) AS rows_before, count_if(o_orderstatus <> 'P') AS rows_after,
        count_if(o_orderstatus <> 'P') - count(*) AS delta, 'removed' AS change FROM orders""")

@@ -69,7 +69,7 @@ def test_plan_rules(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert ("MapInPandas" in plan) == (name == "page_rows")
+    assert ("MapInPandas" in plan) == (name == "html_rows")
 
 
 def test_entry(spark):
@@ -83,5 +83,5 @@ def test_scans_read_only_needed_columns(spark):
         return [line for line in plan.splitlines() if "FileScan" in line]
 
     assert all("props" not in line and "user_id" not in line for line in scan("ohlcv_technical"))
-    assert all("html" not in line for line in scan("page_category"))
+    assert all("html" not in line for line in scan("url_category"))
     assert all("l_comment" not in line and "l_tax" not in line for line in scan("exact_median_hot_groups"))
