@@ -64,22 +64,20 @@ def lag_and_growth(
     spread = F.when(F.col(key).isNull(), F.xxhash64(*df.columns))
     spaced = df.withColumn("_spread", spread).repartition(key, "_spread")
     w = W.partitionBy(key, "_spread").orderBy(order)
-    ahead = w.rowsBetween(0, W.unboundedFollowing)
-    behind = w.rowsBetween(W.unboundedPreceding, 0)
+    upto = w.rowsBetween(W.unboundedPreceding, 0)
+    # Filling backwards is filling forwards in reverse order, in linear time.
+    backwards = W.partitionBy(key, "_spread").orderBy(F.desc(order))
+    back = backwards.rowsBetween(W.unboundedPreceding, 0)
     keyed = F.col(key).isNotNull()
 
-    spaced = spaced.withColumns({f"{t}_lag_1": F.when(keyed, F.lag(t).over(w)) for t in targets})
-    spaced = spaced.withColumns(
-        {f"{t}_lag_1": F.first(f"{t}_lag_1", ignorenulls=True).over(ahead) for t in targets}
-    )
-    spaced = spaced.withColumns(
-        {
-            f"{t}_lag_1": F.when(
-                keyed,
-                F.coalesce(F.last(f"{t}_lag_1", ignorenulls=True).over(behind), F.lit(0.0)),
-            )
-            for t in targets
-        }
+    def lags(rule) -> dict[str, Column]:
+        return {f"{t}_lag_1": rule(t, f"{t}_lag_1") for t in targets}
+
+    spaced = (
+        spaced.withColumns(lags(lambda t, _: F.when(keyed, F.lag(t).over(w))))
+        .withColumns(lags(lambda _, lag: F.last(lag, ignorenulls=True).over(back)))
+        .withColumns(lags(lambda _, lag: F.last(lag, ignorenulls=True).over(upto)))
+        .withColumns(lags(lambda _, lag: F.when(keyed, F.coalesce(F.col(lag), F.lit(0.0)))))
     )
 
     def growth(t: str) -> Column:

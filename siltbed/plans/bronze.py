@@ -40,16 +40,19 @@ def ingest_panels(
     raw: str,
     lake: str,
     datasets: Iterable[str] = tuple(fixed.PANEL_SCHEMAS),
+    multi_line: bool = True,
 ) -> IngestReport:
     """Each named CSV to its own bronze table; a failing one does not stop the others.
 
-    Reports read the written parquet, so the CSV is parsed for the copy only.
+    Reports are lazy and read the written parquet, so the CSV is parsed for the copy only.
     """
     report = IngestReport()
     for name in datasets:
         path = f"{lake}/{fixed.BRONZE_PANELS}/{name}"
         try:
-            report.written[name] = write_table(read_csv(spark, f"{raw}/{name}.csv"), path)
+            report.written[name] = write_table(
+                read_csv(spark, f"{raw}/{name}.csv", multi_line=multi_line), path
+            )
         except Exception as error:  # noqa: BLE001 - isolated per dataset and reported
             report.failures[name] = str(error)
             continue

@@ -129,7 +129,6 @@ PANEL_UNIT_SUFFIXES = {"1_semiconductor_production": {"technology_node_nm": "nm"
 # ---- daily bars and price observations ----------------------------------------------------
 
 BAR_COLUMNS = ["Date", "Ticker", "Open", "High", "Low", "Close", "Adj Close", "Volume"]
-TICKERS = ["NVDA", "AMD", "INTC", "QCOM", "AVGO", "TSM", "MU"]
 PRICE_COLUMNS = ["Date", "Product", "Price", "Unit", "Category"]
 MOVING_AVERAGES = {"ma_5": 5, "ma_20": 20}
 

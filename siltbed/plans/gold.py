@@ -23,6 +23,7 @@ from siltbed.operators.dimensional import (
     with_key,
 )
 from siltbed.operators.quality import grain_check, null_fk_report, null_fk_rows
+from siltbed.operators.rollup import rollup
 from siltbed.plans import fixed_values as fixed
 from siltbed.sources.readers import read_table
 from siltbed.sources.writers import WriteResult, write_table
@@ -263,6 +264,11 @@ def facts(silver: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> dic
     }
 
 
+def company_year_rollup(production: DataFrame) -> DataFrame:
+    """Production per company and year, each measure by its configured aggregate."""
+    return rollup(production, ["company", "year"], fixed.PRODUCTION_ROLLUP)
+
+
 # Checks a caller may run on a finished fact: its grain key and its foreign keys.
 FACT_CHECKS = {
     "fact_ai_demand": ("demand_fact_key", ["date_key", "country_key"]),

@@ -21,12 +21,16 @@ def _guarded(path: str, what: str, load) -> DataFrame:
         raise
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True
+) -> DataFrame:
     """CSV with header, multi-line quoted fields and doubled quotes.
 
-    Pass a ``schema`` for large files: without one Spark reads the file once more to infer it.
+    For large inputs pass a ``schema``, as Spark reads the files once more to infer one, and
+    ``multi_line=False`` where no field holds a line break: files with such fields cannot be
+    split, so each is one task.
     """
-    reader = spark.read.options(header=True, multiLine=True, escape='"')
+    reader = spark.read.options(header=True, multiLine=multi_line, escape='"')
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return _guarded(path, "CSV input", lambda: reader.csv(path))
 

@@ -223,6 +223,15 @@ def test_gold_facts(spark, lake):
     assert keys.join(company, "company_key", "left_semi").count() == 2
 
 
+def test_company_year_rollup(spark, lake):
+    production = read_table(spark, f"{lake['root']}/{fixed.SILVER_PANELS}/1_semiconductor_production")
+    got = gold.company_year_rollup(production.drop("fab_count"))
+    assert got.columns == ["company", "year", *fixed.PRODUCTION_ROLLUP]
+    assert (got.count(), got.filter("fab_count IS NULL").count()) == (36, 36)
+    total = production.agg(F.sum("foundry_revenue_usd")).first()[0]
+    assert got.agg(F.sum("foundry_revenue_usd")).first()[0] == pytest.approx(total)
+
+
 def test_keys_are_stable(spark, lake):
     dim = gold_table(spark, lake, fixed.GOLD_DIMENSIONS, "dim_country")
     assert dim.filter(dim.country_key != surrogate_key(F.col("country_name"))).count() == 0
