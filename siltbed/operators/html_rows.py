@@ -49,6 +49,13 @@ class _RowCollector(HTMLParser):
                 self._done = self._done or (self._inside and i <= self._base)
                 return
 
+    def parse_marked_section(self, i, report=1):
+        """A malformed ``<![`` section is a comment up to the next ``>``, as in browsers."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i) + 1 or -1
+
     def handle_data(self, data):
         if not self._inside or self._done or any(t in ("script", "style") for t, _ in self._open):
             return

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from siltbed.operators.html_rows import html_rows
 from siltbed.plans.bronze import price_rows
 
@@ -35,6 +37,15 @@ def test_nested_rows_and_unclosed_table(frame):
     assert [tuple(r)[1:] for r in got] == [("an", "n", "b"), ("1", "2", "3")]
 
 
+def test_broken_markup_never_stops_the_job(frame):
+    rng = random.Random(1)
+    parts = [*"<>&x[", "<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<![", "<!", "<!--", "-->", "]]>", "&#"]
+    pages = [("".join(rng.choices(parts, k=rng.randrange(1, 25))),) for _ in range(3000)]
+    pages.append(("<table><tr></tr><tr><td>a<![foo[b]]></td><td>b</td><td>c</td></tr></table>",))
+    got = html_rows(frame(pages, "html string"), "html", [], ["x", "y", "z"])
+    assert got.filter("x = 'a' AND y = 'b' AND z = 'c'").count() == 1
+
+
 def test_lists_as_containers(frame):
     html = "<ul><li><a>head</a></li><li><a>one</a> <a>two</a></li></ul>"
     got = html_rows(
