@@ -12,6 +12,7 @@ from siltbed.functions import clip, safe_double
 from siltbed.operators.projection import with_missing
 from siltbed.operators.quality import dedupe_by_key
 from siltbed.operators.quantiles import exact_medians
+from siltbed.operators.timeseries import forward_fill, previous_values
 from siltbed.sources.session import staged
 
 
@@ -52,32 +53,27 @@ def lag_and_growth(
     order: str,
     targets: Sequence[str],
     bounds: tuple[float, float] = (-0.5, 1.5),
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """Add ``<target>_lag_1`` and ``<target>_yoy_growth`` per key in order.
 
     Missing lags are filled from the next one, then from the previous one, then 0; growth is
-    0 for a zero lag and clipped otherwise. The panel holds one row per key and period, so a
-    key's window is bounded by the number of periods. Rows without a key form no series:
-    they are spread over many windows, get no lag and zero growth. The explicit shuffle keeps
-    an earlier partitioning by the key alone from gathering them again.
+    0 for a zero lag and clipped otherwise. A panel with one row per key and period has
+    windows as long as its periods; for longer ones ``slice_by`` cuts a key into slices.
+    Rows without a key form no series: they are spread over many windows, get no lag and
+    zero growth. The explicit shuffle keeps an earlier partitioning by the key alone from
+    gathering them again.
     """
     spread = F.when(F.col(key).isNull(), F.xxhash64(*df.columns))
     spaced = df.withColumn("_spread", spread).repartition(key, "_spread")
-    w = W.partitionBy(key, "_spread").orderBy(order)
-    upto = w.rowsBetween(W.unboundedPreceding, 0)
-    # Filling backwards is filling forwards in reverse order, in linear time.
-    backwards = W.partitionBy(key, "_spread").orderBy(F.desc(order))
-    back = backwards.rowsBetween(W.unboundedPreceding, 0)
-    keyed = F.col(key).isNotNull()
-
-    def lags(rule) -> dict[str, Column]:
-        return {f"{t}_lag_1": rule(t, f"{t}_lag_1") for t in targets}
-
-    spaced = (
-        spaced.withColumns(lags(lambda t, _: F.when(keyed, F.lag(t).over(w))))
-        .withColumns(lags(lambda _, lag: F.last(lag, ignorenulls=True).over(back)))
-        .withColumns(lags(lambda _, lag: F.last(lag, ignorenulls=True).over(upto)))
-        .withColumns(lags(lambda _, lag: F.when(keyed, F.coalesce(F.col(lag), F.lit(0.0)))))
+    keys, lags = [key, "_spread"], {f"{t}_lag_1": t for t in targets}
+    lagged = (
+        spaced.transform(previous_values, keys, [order], lags, slice_by)
+        .transform(forward_fill, keys, [order], list(lags), slice_by, descending=True)
+        .transform(forward_fill, keys, [order], list(lags), slice_by)
+        .withColumns(
+            {c: F.when(F.col(key).isNotNull(), F.coalesce(F.col(c), F.lit(0.0))) for c in lags}
+        )
     )
 
     def growth(t: str) -> Column:
@@ -85,7 +81,7 @@ def lag_and_growth(
         change = F.when(lag != 0, (F.col(t) - lag) / lag)
         return F.coalesce(clip(change, *bounds), F.lit(0.0))
 
-    return spaced.withColumns({f"{t}_yoy_growth": growth(t) for t in targets}).drop("_spread")
+    return lagged.withColumns({f"{t}_yoy_growth": growth(t) for t in targets}).drop("_spread")
 
 
 def category_codes(df: DataFrame, column: str, out: str, slices: int = 256) -> DataFrame:

@@ -41,6 +41,10 @@ def range_sliced(
     return staged(df.repartitionByRange(*keys, *order).withColumn(out, F.spark_partition_id()))
 
 
+def _sorted(columns: Sequence[str], descending: bool = False) -> list[Column]:
+    return [F.desc(c) if descending else F.asc(c) for c in columns]
+
+
 def _extended(
     df: DataFrame,
     keys: Sequence[str],
@@ -49,31 +53,34 @@ def _extended(
     depth: int,
     columns: Sequence[str],
     fill: bool,
+    descending: bool = False,
 ) -> DataFrame:
     """Rows with their slice, plus copies of the ``depth`` rows before each slice.
 
     Copies are marked in ``_reaching``, hold only order and ``columns``, and sort before
     the slice's own rows. With ``fill`` their gaps are already filled forward, so the last
-    copy carries the value that reaches into the slice.
+    copy carries the value that reaches into the slice. ``descending`` turns the order
+    round: "before" then means the later slices.
     """
     sliced = df.withColumn(_SLICE, slice_by)
     narrow = sliced.select(*dict.fromkeys([*keys, _SLICE, *order, *columns]))
     inside = W.partitionBy(*keys, _SLICE)
     if fill:
-        upto = inside.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        forwards = inside.orderBy(*_sorted(order, descending))
+        upto = forwards.rowsBetween(W.unboundedPreceding, 0)
         ends = narrow.withColumns(
             {c: F.last(c, ignorenulls=True).over(upto) for c in columns}
             | {
-                "_place": F.row_number().over(inside.orderBy(*order)),
+                "_place": F.row_number().over(forwards),
                 "_size": F.count(F.lit(1)).over(inside),
             }
         ).withColumn("_back", F.col("_size") - F.col("_place") + 1)
     else:
         # Spark prunes to the last rows of each slice before the shuffle.
         ends = narrow.withColumn(
-            "_back", F.row_number().over(inside.orderBy(*[F.desc(o) for o in order]))
+            "_back", F.row_number().over(inside.orderBy(*_sorted(order, not descending)))
         )
-    along = W.partitionBy(*keys).orderBy(_SLICE, F.desc("_back"))
+    along = W.partitionBy(*keys).orderBy(*_sorted([_SLICE], descending), F.desc("_back"))
     ends = ends.filter(F.col("_back") <= depth)
     if fill:
         before = along.rowsBetween(W.unboundedPreceding, 0)
@@ -123,13 +130,35 @@ def forward_fill(
     order: Sequence[str],
     columns: Sequence[str],
     slice_by: Column | None = None,
+    descending: bool = False,
 ) -> DataFrame:
-    """Replace NULLs by the last value before them in the key's order."""
+    """Replace NULLs by the last value before them in the key's order.
+
+    With ``descending`` the order is turned round, which fills backwards.
+    """
     if slice_by is not None:
-        extended = _extended(df, keys, order, slice_by, 1, columns, fill=True)
-        return _own_rows(forward_fill(extended, [*keys, _SLICE], order, columns))
-    w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+        extended = _extended(df, keys, order, slice_by, 1, columns, True, descending)
+        return _own_rows(
+            forward_fill(extended, [*keys, _SLICE], order, columns, descending=descending)
+        )
+    w = W.partitionBy(*keys).orderBy(*_sorted(order, descending))
+    upto = w.rowsBetween(W.unboundedPreceding, 0)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in columns})
+
+
+def previous_values(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Mapping[str, str],
+    slice_by: Column | None = None,
+) -> DataFrame:
+    """Add ``{new column: column}`` holding the value of the row before."""
+    if slice_by is not None:
+        extended = _extended(df, keys, order, slice_by, 1, [*columns.values()], fill=False)
+        return _own_rows(previous_values(extended, [*keys, _SLICE], order, columns))
+    w = W.partitionBy(*keys).orderBy(*order)
+    return df.withColumns({new: F.lag(c).over(w) for new, c in columns.items()})
 
 
 def moving_averages(
@@ -187,11 +216,10 @@ def percent_change(
 
     Meant for series of bounded length, such as the years of a forecast.
     """
-    w = W.partitionBy(*keys).orderBy(*order)
-    filled = F.last(column, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0))
-    staged = df.withColumn("_filled", filled).withColumn("_before", F.lag("_filled").over(w))
+    filled = forward_fill(df.withColumn("_filled", F.col(column)), keys, order, ["_filled"])
+    paired = previous_values(filled, keys, order, {"_before": "_filled"})
     change = safe_ratio(F.col("_filled") - F.col("_before"), F.col("_before"))
-    return staged.withColumn(out, F.coalesce(change, F.lit(0.0))).drop("_filled", "_before")
+    return paired.withColumn(out, F.coalesce(change, F.lit(0.0))).drop("_filled", "_before")
 
 
 def running_product(

@@ -61,13 +61,15 @@ def expected(rows):
     return pdf
 
 
-def test_preparation_equals_pandas(frame):
+@pytest.mark.parametrize("width", [None, 1, 4])
+def test_preparation_equals_pandas(frame, width):
     rows = panel_rows()
+    slice_by = None if width is None else F.floor(F.col("year") / width)
     df = frame(rows, SCHEMA).repartition(3)
     got = (
         df.transform(f.numeric_features, ["a", "b", "gone"])
         .transform(f.impute_medians, "country", ["a", "b", "gone"])
-        .transform(f.lag_and_growth, "country", "year", ["gpu", "rev"])
+        .transform(f.lag_and_growth, "country", "year", ["gpu", "rev"], slice_by=slice_by)
         .toPandas()
     )
     want = expected(rows)

@@ -14,6 +14,7 @@ from siltbed.operators.timeseries import (
     forward_fill,
     moving_averages,
     percent_change,
+    previous_values,
     range_sliced,
     running_product,
     technical_features,
@@ -66,6 +67,24 @@ def test_forward_fill(frame, width, seed, gap):
     assert {tuple(r) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("width", WIDTHS)
+def test_backward_fill_and_previous(frame, width):
+    rows = series(21, 60, 0.6)
+    filled, previous = set(), set()
+    for key, group in by_key(rows).items():
+        nxt = None
+        for _, n, v in reversed(group):
+            nxt = v if v is not None else nxt
+            filled.add((key, n, nxt))
+        for before, (_, n, v) in zip([(None, None, None), *group], group):
+            previous.add((key, n, v, before[2]))
+    df = frame(rows, "k string, n int, v double")
+    got = forward_fill(df, ["k"], ["n"], ["v"], slices(width), descending=True)
+    assert {tuple(r) for r in got.collect()} == filled
+    got = previous_values(df, ["k"], ["n"], {"p": "v"}, slices(width))
+    assert {tuple(r) for r in got.collect()} == previous
+
+
 @pytest.mark.parametrize("width", WIDTHS)
 @pytest.mark.parametrize("seed, gap", [(3, 0.0), (4, 0.5)])
 def test_moving_averages(frame, width, seed, gap):
