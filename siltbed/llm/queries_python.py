@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltbed.llm.order_minhash import order_minhash
 from siltbed.llm.packing import pack_documents
 from siltbed.llm.records import round_trip
 from siltbed.llm.registry import query, table
 from siltbed.llm.simhash import simhash_groups
+from siltbed.llm.substring_dedup import remove_repeats
 from siltbed.llm.toxicity import toxicity
 
 
+@query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 20-word passages that were there before."""
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 @query()
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and near-duplicate components of all documents."""

@@ -1,7 +1,7 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed words, n-grams and skip-grams.
 
 Features are the distinct words, neighbouring pairs and pairs over one word, hashed to
-2^18 places. Per-coordinate learning rates let rare features move while common ones settle,
+2^20 places. Per-coordinate learning rates let rare features move while common ones settle,
 and the L1 penalty keeps weights at zero until the evidence is enough, so the model is a
 short list of weights that is sent to every task.
 """
@@ -25,13 +25,13 @@ from siltbed.llm.words import WordBatch, combine, mix
 class Settings:
     """Training parameters. ``most_rows`` bounds the sample of labelled rows that is learned from."""
 
-    bits: int = 18
-    alpha: float = 0.1
+    bits: int = 20
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
+    l1: float = 8.0
+    l2: float = 0.1
     epochs: int = 5
-    most_rows: int = 4000
+    most_rows: int = 8000
     seed: int = 7
 
 
