@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from siltbed.llm.tokens import default_tokenizer, encoder, ids_crc32
+from siltbed.llm.tokens import default_tokenizer, encoder, ids_crc32, slices
 
 #: Context sizes; powers of two.
 TIERS = (128, 256, 512, 1024)
@@ -182,16 +182,14 @@ def pack_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         packer = Packer(TaskContext.get().partitionId() * PER_TASK, tiers)
-        for batch in batches:
-            for first in range(0, batch.num_rows, 10_000):
-                part = batch.slice(first, 10_000)
-                ids, bounds = encode.encode(part.column(1))
-                for row, doc_id in enumerate(part.column(0).to_pylist()):
-                    packer.add(doc_id, ids[bounds[row] : bounds[row + 1]])
-                # Held pieces must not keep the ids of whole batches.
-                for piece in packer.held.values():
-                    piece.ids = piece.ids.copy()
-                yield taken(packer)
+        for part in slices(batches):
+            ids, bounds = encode.encode(part.column(1))
+            for row, doc_id in enumerate(part.column(0).to_pylist()):
+                packer.add(doc_id, ids[bounds[row] : bounds[row + 1]])
+            # Held pieces must not keep the ids of whole batches.
+            for piece in packer.held.values():
+                piece.ids = piece.ids.copy()
+            yield taken(packer)
         packer.finish()
         yield taken(packer)
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.tokens import default_tokenizer, encoder, ids_crc32
+from siltbed.llm.tokens import default_tokenizer, encoder, ids_crc32, slices
 from siltbed.sources.session import staging_path
 
 LENGTH, CHECK, HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qII")
@@ -114,9 +114,7 @@ def write_records(
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
         rec = idx = None
         offset = records = tokens = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             if rec is None:
                 files, local = opened(name)
                 files.create_dir(local.rpartition("/")[0], recursive=True)

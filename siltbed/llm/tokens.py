@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -192,6 +193,13 @@ def gathered(
     return flat[np.arange(ends[-1]) + np.repeat(begins[codes] - ends[:-1], each)], ends
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 2500) -> Iterator[pa.RecordBatch]:
+    """Batches in parts small enough that the arrays of one encoding fit beside the others."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The process's encoder, so that later batches and tasks find the words of earlier ones."""
