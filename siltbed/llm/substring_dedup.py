@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.words import WordBatch, combine, mix
+from siltbed.llm.words import SPACES, WordBatch, combine, mix
 
 WIDTH = 20
 #: Contexts grow with the rounds: after two, a symbol hangs on seven words or so, enough to be
@@ -39,6 +39,8 @@ BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
 #: Rows of a batch that are handled at once.
 SLICE = 4000
+#: Stands for the number of all windows of a text.
+WHOLE = -1
 #: Stands for a null id, which comes before all others.
 NO_ID = -(1 << 63)
 
@@ -335,6 +337,8 @@ def _cut_texts(width: int):
             words = WordBatch(batch.column("text"))
             counts = words.counts()
             row, start, n = _of_row(batch, "spans")
+            n = np.where(n == WHOLE, np.maximum(counts[row] - width + 1, 0), n)
+            start, row, n = start[n > 0], row[n > 0], n[n > 0]
             # Words under a span of windows: marks at both ends, summed up.
             first = words.offsets[row] + start
             marks = np.zeros(len(words.codes) + 1, dtype=np.int64)
@@ -362,15 +366,19 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text
     documents in the order of their texts; a null id comes first and a null text has no
     words. Texts below the width keep all words. Further columns are not read.
 
-    Texts are dealt by their id once and that exchange serves all three passes over them.
-    Other exchanges carry symbols of about every sixth word, then the windows in question,
+    Texts are dealt by their id once and that exchange serves all passes over them. Copies of
+    whole documents are settled first. Other exchanges carry symbols of about every sixth word, then the windows in question,
     of which each task sends an equal one only once.
     """
     key = F.coalesce(F.col(id).cast("long"), F.lit(NO_ID))
     dealt = docs.select(key.alias("k"), F.col(text).alias("text")).repartition("k")
     # Rows of one id already lie together; the number tells them apart.
     dealt = dealt.withColumn("ord", F.row_number().over(Window.partitionBy("k").orderBy("text")))
-    anchors = dealt.mapInArrow(_find_anchors(width), ANCHORS)
+    copies = later_copies(dealt)
+    none = F.array().cast("array<struct<ord:int,start:int,n:int>>")
+    known = F.coalesce("spans", none)
+    fresh = dealt.join(_spans(copies), "k", "left").where(~F.exists(known, lambda x: x["ord"] == F.col("ord")))
+    anchors = fresh.select("k", "ord", "text").mapInArrow(_find_anchors(width), ANCHORS)
     shared = anchors.repartition("name").sortWithinPartitions("name").mapInArrow(_repeated_names, REMOVED)
     asked = dealt.join(_spans(shared), "k").select("k", "ord", "text", "spans")
     windows = asked.mapInArrow(_digest_windows(width), WINDOWS)
@@ -379,13 +387,27 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text
         .sortWithinPartitions("settled", "wa", "wb", "k", "ord", "start")
         .mapInArrow(_later_windows, REMOVED)
     )
-    none = F.array().cast("array<struct<ord:int,start:int,n:int>>")
-    cut = dealt.join(_spans(later), "k", "left").select("k", "ord", "text", F.coalesce("spans", none).alias("spans"))
+    gone = _spans(later.union(copies))
+    cut = dealt.join(gone, "k", "left").select("k", "ord", "text", known.alias("spans"))
     done = cut.mapInArrow(_cut_texts(width), "k long, n_words long, n_removed long, kept_text string")
     kind = docs.schema[id].dataType
     return done.select(F.nullif(F.col("k"), F.lit(NO_ID)).cast(kind).alias(id), "n_words", "n_removed", "kept_text")
 
 
+def later_copies(dealt: DataFrame) -> DataFrame:
+    """Documents whose whole word sequence an earlier one has, with all windows as their span.
+
+    They are settled here, by a digest of their words, so that neither they nor, on their
+    account, the originals have single windows compared.
+    """
+    joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), f"{SPACES}+", " "))
+    marked = dealt.select(F.md5(joined).alias("digest"), "k", "ord")
+    at = F.struct("k", "ord")
+    firsts = marked.groupBy("digest").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = marked.join(firsts, "digest").where(at != F.col("first"))
+    return later.select("k", "ord", F.lit(0).alias("start"), F.lit(WHOLE).alias("n"))
+
+
 def _spans(rows: DataFrame) -> DataFrame:
     """Spans of windows as one list per id, as long as a document at most."""
     return rows.groupBy("k").agg(F.collect_list(F.struct("ord", "start", "n")).alias("spans"))
