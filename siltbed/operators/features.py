@@ -65,12 +65,14 @@ def lag_and_growth(
     gathering them again.
     """
     spread = F.when(F.col(key).isNull(), F.xxhash64(*df.columns))
-    spaced = df.withColumn("_spread", spread).repartition(key, "_spread")
+    # Rows of one key and period keep one order, whatever the partitioning.
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    spaced = tied.withColumn("_spread", spread).repartition(key, "_spread")
     keys, lags = [key, "_spread"], {f"{t}_lag_1": t for t in targets}
     lagged = (
-        spaced.transform(previous_values, keys, [order], lags, slice_by)
-        .transform(forward_fill, keys, [order], list(lags), slice_by, descending=True)
-        .transform(forward_fill, keys, [order], list(lags), slice_by)
+        spaced.transform(previous_values, keys, [order, "_tie"], lags, slice_by)
+        .transform(forward_fill, keys, [order, "_tie"], list(lags), slice_by, descending=True)
+        .transform(forward_fill, keys, [order, "_tie"], list(lags), slice_by)
         .withColumns(
             {c: F.when(F.col(key).isNotNull(), F.coalesce(F.col(c), F.lit(0.0))) for c in lags}
         )
@@ -81,7 +83,7 @@ def lag_and_growth(
         change = F.when(lag != 0, (F.col(t) - lag) / lag)
         return F.coalesce(clip(change, *bounds), F.lit(0.0))
 
-    return lagged.withColumns({f"{t}_yoy_growth": growth(t) for t in targets}).drop("_spread")
+    return lagged.withColumns({f"{t}_yoy_growth": growth(t) for t in targets}).drop("_spread", "_tie")
 
 
 def category_codes(df: DataFrame, column: str, out: str, slices: int = 256) -> DataFrame:

@@ -20,7 +20,10 @@ from siltbed.functions import safe_double
 def exact_medians(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), accuracy: int = 10000
 ) -> DataFrame:
-    """Interpolated median per column, one row per key (one row in all without keys)."""
+    """Interpolated median per column, one row per key (one row in all without keys).
+
+    NULL is a key like any other; a group without values has a NULL median.
+    """
     return _exact(df, [(c, 0.5, c) for c in columns], keys, accuracy, interpolate=True)
 
 
@@ -46,8 +49,6 @@ def _exact(
     margin = 2 / accuracy
     columns = list(dict.fromkeys(c for c, _, _ in targets))
     values = df.select(*keys, *[safe_double(F.col(c)).alias(f"_v_{c}") for c in columns])
-    if keys:
-        values = values.dropna(subset=list(keys))
 
     # One sketch per column serves all its fractions.
     spots = {c: [i for i, t in enumerate(targets) if t[0] == c] for c in columns}
@@ -83,7 +84,8 @@ def _exact(
             "_b",
         )
         .select(*keys, F.inline(F.arrays_zip("_t", "_v", "_b")))
-        .filter(value <= bracket["high"])
+        # A group without values keeps its rows, which merge into one without a pick.
+        .filter((value <= bracket["high"]) | (bracket["n"] == 0))
         .groupBy(
             *keys,
             "_t",
@@ -107,10 +109,12 @@ def _exact(
         hit = value.isNotNull() & rank.between(F.col("_first"), F.col("_last"))
         return F.max(F.when(hit, value))
 
-    picked = placed.groupBy(*keys, "_t").agg(((at(lower) + at(upper)) / 2).alias("_pick"))
+    picked = placed.groupBy(*keys, "_t").agg(
+        ((at(lower) + at(upper)) / 2).alias("_pick"), F.max("_n").alias("_n")
+    )
     # Never return a guess: a bracket that missed its rank stops the job.
     missed = F.raise_error(F.lit("a rank lies outside its bracket; raise accuracy")).cast("double")
-    sure = picked.withColumn("_pick", F.coalesce("_pick", missed))
+    sure = picked.withColumn("_pick", F.when(F.col("_n") > 0, F.coalesce("_pick", missed)))
     return sure.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_t") == i, F.col("_pick"))).alias(n) for i, (_, _, n) in enumerate(targets)]
     )

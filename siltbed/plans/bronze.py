@@ -65,7 +65,8 @@ def ingest_panels(
 def _ingest(report_name: str, df: DataFrame, path: str, partition_by: Sequence[str], **checks) -> IngestReport:
     report = IngestReport()
     report.written[report_name] = write_table(df, path, partition_by)
-    report.quality[report_name] = validation_report(df, report_name, **checks)
+    # The stored table is reported on, so that sources are not read again.
+    report.quality[report_name] = validation_report(read_table(df.sparkSession, path), report_name, **checks)
     return report
 
 

@@ -117,7 +117,7 @@ def _dated(fact: DataFrame, dim: DataFrame, column: str) -> DataFrame:
 
 
 def _keyed(fact: DataFrame, key: str, grain: Sequence[Column], columns: Sequence[str]) -> DataFrame:
-    return fact.select(surrogate_key(*grain).alias(key), *columns)
+    return fact.select(surrogate_key(*grain, wide=True).alias(key), *columns)
 
 
 def fact_ai_demand(demand: DataFrame, market: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:

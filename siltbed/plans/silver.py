@@ -76,12 +76,18 @@ def clean_bars(
         .transform(require, [key, date])
         .transform(dedupe_rows)
     )
-    # Different bars of one day keep one order, whatever the partitioning.
+    # Different bars of one day keep one order, whatever the partitioning. Prices and volumes
+    # that get filled take part as they were.
     ties = [c for c in ("open", "high", "low", "adj_close") if c in cleaned.columns]
+    unfilled = {f"_unfilled_{c}": F.col(c) for c in ("close", "volume") if c in cleaned.columns}
     slice_by = F.trunc(date, slice_unit) if slice_unit else None
     return technical_features(
-        cleaned, [key], [date, *ties], spans or fixed.MOVING_AVERAGES, slice_by
-    )
+        cleaned.withColumns(unfilled),
+        [key],
+        [date, *ties, *unfilled],
+        spans or fixed.MOVING_AVERAGES,
+        slice_by,
+    ).drop(*unfilled)
 
 
 def clean_prices(df: DataFrame, daily: bool = True, drop_bad_first: bool = False) -> DataFrame:

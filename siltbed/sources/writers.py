@@ -29,11 +29,11 @@ def write_table(
     partition is still written by many tasks. ``files=1`` is for tiny tables only.
     """
     observed = Observation()
-    out = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+    out = df.hint("rebalance", *partition_by) if partition_by and not files else df
+    # Observed behind the shuffle: its map tasks may run again and would count twice.
+    out = out.observe(observed, F.count(F.lit(1)).alias("rows"))
     if files:
         out = out.coalesce(files)
-    elif partition_by:
-        out = out.hint("rebalance", *partition_by)
     writer = out.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

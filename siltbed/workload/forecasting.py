@@ -42,8 +42,8 @@ means AS (
   FROM grown WHERE nation_key IS NOT NULL GROUP BY nation_key),
 steps AS (
   SELECT nation_key, nation_name, 2001 AS forecast_year, order_value AS v, order_count AS c,
-         order_count AS cl, 0.04::DOUBLE AS market, mv, mc
-  FROM panel JOIN means USING (nation_key) WHERE year = (SELECT max(year) FROM panel)
+         order_count AS cl, 0.04::DOUBLE AS market, coalesce(mv, 0) AS mv, coalesce(mc, 0) AS mc
+  FROM panel LEFT JOIN means USING (nation_key) WHERE year = (SELECT max(year) FROM panel)
   UNION ALL
   SELECT nation_key, nation_name, forecast_year + 1, v * (1 + 0.5 * mv + 0.5 * market),
          c * (1 + 0.5 * mc + 0.1 * (c / cl - 1)), c, 0.5 * mv + 0.5 * market, mv, mc
@@ -60,12 +60,15 @@ def _rule_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("nation_key")
         .agg(*[F.avg(f"{t}_yoy_growth").alias(f"mean_{t}") for t in TARGETS])
     )
+    # Rows without a nation stay in the totals; they have no series and so no mean growth.
+    mean_columns = [f"mean_{t}" for t in TARGETS]
     snapshot = (
         latest_snapshot(grown, "nation_key", "year", TARGETS)
-        .join(means, "nation_key")
+        .join(means, "nation_key", "left")
+        .withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in mean_columns})
         .withColumn("market_growth", F.lit(0.04))
     )
-    momentum = F.col("order_count") / F.col("order_count_lag_1") - 1
+    momentum = F.coalesce(F.col("order_count") / F.col("order_count_lag_1") - 1, F.lit(0.0))
     rules = {
         "order_value": column_predictor(0.5 * F.col("mean_order_value") + 0.5 * F.col("market_growth")),
         "order_count": column_predictor(0.5 * F.col("mean_order_count") + 0.1 * momentum),

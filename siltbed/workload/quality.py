@@ -99,7 +99,7 @@ def _profile_sql(table_name: str, numbers: list[str], texts: list[str]) -> str:
         f"CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM {table_name}"
         for c in numbers
     ] + [
-        f"SELECT '{c}', count({c}), count(*) - count({c}), NULL, NULL, NULL, NULL, min({c}), max({c}) "
+        f"SELECT '{c}', count({c}), count(*) - count({c}), NULL, NULL, NULL, NULL, CAST(min({c}) AS VARCHAR), CAST(max({c}) AS VARCHAR) "
         f"FROM {table_name}"
         for c in texts
     ]
@@ -110,12 +110,12 @@ def _profile_sql(table_name: str, numbers: list[str], texts: list[str]) -> str:
     _profile_sql(
         "orders",
         ["o_orderkey", "o_custkey", "o_totalprice"],
-        ["o_orderstatus", "o_orderpriority"],
+        ["o_orderstatus", "o_orderdate", "o_orderpriority"],
     )
 )
 def profile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count, NULLs, mean, spread and extremes of every column in one pass."""
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
     stats = q.profile(orders, quartiles=False)
     number = F.col("mean").isNotNull()
     return stats.select(
@@ -166,6 +166,22 @@ def exact_median_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(exact_medians(table(spark, sf_dir, "lineitem"), columns, ["l_returnflag"]), columns)
 
 
+@query("""
+WITH o AS (
+  SELECT nullif(o_orderpriority, '5-LOW') AS priority,
+         CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice END AS price
+  FROM orders)
+SELECT priority, round(median(price), 6) AS price FROM o GROUP BY priority""")
+def exact_median_null_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians with a NULL group and a group without any value."""
+    priority = F.col("o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select(
+        F.nullif(priority, F.lit("5-LOW")).alias("priority"),
+        F.when(priority != "1-URGENT", F.col("o_totalprice")).alias("price"),
+    )
+    return rounded(exact_medians(orders, ["price"], ["priority"]), ["price"])
+
+
 @query("""
 WITH raw AS (
   SELECT o_custkey AS key,

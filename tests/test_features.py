@@ -193,3 +193,14 @@ def test_forecast_outputs(frame):
     ]
     total = [tuple(r) for r in fc.global_summary(df).collect()]
     assert total == [(2026, 6.0, 10.0, 0.0), (2027, 8.0, 25.0, pytest.approx(1.5))]
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 8])
+def test_lags_of_tied_rows_do_not_depend_on_partitions(frame, partitions):
+    rows = [("x", 2000, float(i), i % 3) for i in range(9)] + [("x", 2001, 5.0, 1), ("x", 2001, 6.0, 2)]
+    want = None
+    for seed in (0, 5):
+        df = frame(rows[seed:] + rows[:seed], "country string, year int, gpu double, id int").repartition(partitions)
+        got = sorted(map(tuple, f.lag_and_growth(df, "country", "year", ["gpu"]).collect()))
+        want = want or got
+        assert got == want

@@ -112,7 +112,7 @@ def test_exact_medians(frame, seed, accuracy):
         return statistics.median(kept) if kept else None
 
     got = {r.k: (r.x, r.y) for r in exact_medians(df, ["x", "y"], ["k"], accuracy).collect()}
-    assert got == {k: (median(k, 1), median(k, 2)) for k in ("hot", "even", "two", "one", "none")}
+    assert got == {k: (median(k, 1), median(k, 2)) for k in ("hot", "even", "two", "one", "none", None)}
     overall = exact_medians(df, ["x", "y"], accuracy=accuracy).collect()
     assert [tuple(r) for r in overall] == [(median("*", 1), median("*", 2))]
 
@@ -157,3 +157,11 @@ def test_hot_key_join_feeds_its_own_shuffle(spark, frame):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     above_join = plan[: plan.index("SortMergeJoin")]
     assert "hashpartitioning(k" in above_join and "_v" in above_join[above_join.rindex("Exchange") :]
+
+
+def test_medians_keep_null_keys_and_empty_groups(frame):
+    from siltbed.operators.quantiles import exact_medians
+
+    df = frame([("a", 1.0), ("a", 3.0), ("b", None), (None, 5.0)], "k string, v double")
+    got = {r.k: r.v for r in exact_medians(df, ["v"], ["k"]).collect()}
+    assert got == {"a": 2.0, "b": None, None: 5.0}

@@ -9,13 +9,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from siltbed.workload import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
 
@@ -60,7 +60,8 @@ def test_runs_without_sql(spark, name):
 
 
 def test_oracles_belong_to_queries():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(q for q in QUERIES if not q.startswith("gbt_")))
