@@ -198,6 +198,7 @@ def find_pii(docs: DataFrame, text: str = "text", rule: Scores = Scores()) -> Da
 
 def mask_pii(docs: DataFrame, text: str = "text", rule: Scores = Scores()) -> DataFrame:
     """Replace all found spans in the text; null texts stay null, further columns stay."""
-    found = find_pii(docs.withColumn("_text", F.col(text)), "_text", rule)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
+    found = find_pii(rows, "_text", rule)
     masked = masked_text(F.col("_text"), F.concat("base_spans", "added_spans"))
-    return found.withColumn(text, masked).select(*docs.columns)
+    return found.select(*[(masked if c == text else F.col("_row")[c]).alias(c) for c in docs.columns])
