@@ -133,10 +133,16 @@ def outer_enrich(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def conform(members: DataFrame, name: str, canonical: Column, key: str, code: str) -> DataFrame:
+def conform(
+    members: DataFrame, name: str, canonical: Column, key: str, code: str, spelled_out: bool = False
+) -> DataFrame:
     """One member per canonical code: several spellings of one entity share a key.
 
     The smallest spelling names the member, so the dimension is the same in every run.
+    ``spelled_out`` prefers spellings that are not the code itself.
     """
-    by_code = members.select(canonical.alias(code), name).groupBy(code).agg(F.min(name).alias(name))
+    smallest = F.min(name)
+    if spelled_out:
+        smallest = F.coalesce(F.min(F.when(F.col(name) != F.col(code), F.col(name))), smallest)
+    by_code = members.select(canonical.alias(code), name).groupBy(code).agg(smallest.alias(name))
     return by_code.select(surrogate_key(F.col(code)).alias(key), name, code)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
@@ -15,39 +16,48 @@ VOID_TAGS = frozenset(
 
 
 class _RowCollector(HTMLParser):
-    """Cell texts per row of the first container element."""
+    """Cell texts per row of the first container element, in time linear in the page.
+
+    Texts and cells are kept once, in page order. Whatever lies between an element's start
+    and its end belongs to it, so a cell is a span of texts and a row a span of cells.
+    """
 
     def __init__(self, container: str, row: str, cells: frozenset[str]):
         super().__init__(convert_charrefs=True)
         self._container, self._row, self._cells = container, row, cells
-        self._open: list[tuple[str, object]] = []
+        self._open: list[tuple[str, list | None]] = []
+        self._open_tags: Counter[str] = Counter()
         self._inside = self._done = False
         self._base = 0
-        self.rows: list[list[list[str]]] = []
+        self._texts: list[str] = []
+        self._cell_spans: list[list] = []
+        self._row_spans: list[list] = []
 
     def handle_starttag(self, tag, attrs):
         if self._done or tag in VOID_TAGS:
             return
-        mark: object = None
+        span = None
         if self._inside and tag == self._row:
-            mark = []
-            self.rows.append(mark)
+            span = [len(self._cell_spans), None]
+            self._row_spans.append(span)
         elif self._inside and tag in self._cells:
-            mark = []
-            # A cell belongs to every row it is nested in.
-            for name, cells in self._open:
-                if name == self._row and cells is not None:
-                    cells.append(mark)
+            span = [len(self._texts), None]
+            self._cell_spans.append(span)
         elif tag == self._container and not self._inside:
             self._inside, self._base = True, len(self._open)
-        self._open.append((tag, mark))
+        self._open.append((tag, span))
+        self._open_tags[tag] += 1
 
     def handle_endtag(self, tag):
-        for i in range(len(self._open) - 1, -1, -1):
-            if self._open[i][0] == tag:
-                del self._open[i:]
-                self._done = self._done or (self._inside and i <= self._base)
-                return
+        if self._done or not self._open_tags[tag]:
+            return
+        name = None
+        while name != tag:
+            name, span = self._open.pop()
+            self._open_tags[name] -= 1
+            if span is not None:
+                span[1] = len(self._cell_spans if name == self._row else self._texts)
+        self._done = self._inside and len(self._open) <= self._base
 
     def parse_marked_section(self, i, report=1):
         """A malformed ``<![`` section is a comment up to the next ``>``, as in browsers."""
@@ -57,20 +67,27 @@ class _RowCollector(HTMLParser):
             return self.rawdata.find(">", i) + 1 or -1
 
     def handle_data(self, data):
-        if not self._inside or self._done or any(t in ("script", "style") for t, _ in self._open):
+        if not self._inside or self._done or self._open_tags["script"] or self._open_tags["style"]:
             return
         text = data.strip()
         if text:
-            for name, mark in self._open:
-                if name in self._cells and mark is not None:
-                    mark.append(text)
+            self._texts.append(text)
+
+    def rows(self, width: int) -> Iterator[tuple[int, list[str]]]:
+        """Per row its number of cells and the texts of the first ``width`` of them."""
+        for start, end in self._row_spans:
+            end = len(self._cell_spans) if end is None else end
+            row = self._cell_spans[start : min(end, start + width)]
+            yield end - start, ["".join(self._texts[a:b]) for a, b in row]
 
 
-def _cells_per_row(html: str, container: str, row: str, cells: frozenset[str]) -> list[list[str]]:
+def _cells_per_row(
+    html: str, container: str, row: str, cells: frozenset[str], width: int
+) -> Iterator[tuple[int, list[str]]]:
     collector = _RowCollector(container, row, cells)
     collector.feed(html or "")
     collector.close()
-    return [["".join(cell) for cell in r] for r in collector.rows]
+    return collector.rows(width)
 
 
 def html_rows(
@@ -97,8 +114,8 @@ def html_rows(
             found = [
                 (i, r, *(values + [""] * width)[:width])
                 for i, page in enumerate(batch[html])
-                for r, values in enumerate(_cells_per_row(page, container, row, cell_tags))
-                if r >= skip and len(values) >= required
+                for r, (count, values) in enumerate(_cells_per_row(page, container, row, cell_tags, width))
+                if r >= skip and count >= required
             ]
             rows = pd.DataFrame(found, columns=["_i", "row_number", *fields])
             source = batch[list(keep)].iloc[rows["_i"].astype("int64")].reset_index(drop=True)

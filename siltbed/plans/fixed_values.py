@@ -161,6 +161,17 @@ COMPANY_TICKER_RULES = [
     ("TAIWAN SEMI", "TSM"),
 ]
 
+# Company names as the panels spell them.
+COMPANY_TICKERS = {
+    "nvidia": "NVDA",
+    "amd": "AMD",
+    "intel": "INTC",
+    "qualcomm": "QCOM",
+    "broadcom": "AVGO",
+    "tsmc": "TSM",
+    "micron": "MU",
+}
+
 COUNTRY_REGIONS = {
     "japan": "east asia",
     "taiwan": "east asia",

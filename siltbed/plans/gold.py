@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from siltbed.functions import first_match, lookup_map, lower_trim, surrogate_key
 from siltbed.operators.dimensional import (
     as_date,
+    conform,
     date_dimension,
     distinct_dimension,
     enrich,
@@ -44,12 +45,20 @@ SILVER_TABLES = {
 # ---- dimensions ----------------------------------------------------------------------------
 
 
+def company_code(name: Column) -> Column:
+    """Ticker of a company given by its name or ticker; an unknown one stands for itself."""
+    return F.coalesce(
+        F.upper(lookup_map(name, fixed.COMPANY_TICKERS)), first_match(name, fixed.COMPANY_TICKER_RULES)
+    )
+
+
 def dim_company(production: DataFrame, innovation: DataFrame, bars: DataFrame) -> DataFrame:
+    """One member per ticker, whether its sources spell it as a name or as the ticker."""
     members = union_members(
         [(production, "company"), (innovation, "company"), (bars, "ticker")], "company_name"
     )
-    ticker = first_match(F.col("company_name"), fixed.COMPANY_TICKER_RULES)
-    return with_key(members, "company_key", ["company_name"], {"ticker": ticker})
+    code = company_code(F.col("company_name"))
+    return conform(members, "company_name", code, "company_key", "ticker", spelled_out=True)
 
 
 def dim_country(production: DataFrame, demand: DataFrame, risk: DataFrame, trade: DataFrame) -> DataFrame:
@@ -111,6 +120,13 @@ def _by_name(fact: DataFrame, dim: DataFrame, fact_name: str, dim_name: str, key
     return lookup_key(named, side, {"_name": "_norm"}, key, unique=False).drop("_name")
 
 
+def _by_company(fact: DataFrame, dim: DataFrame, column: str) -> DataFrame:
+    """Key of a company given by name or ticker, the same one in every fact."""
+    coded = fact.withColumn("_code", lower_trim(company_code(F.col(column))))
+    side = dim.select(lower_trim(F.col("ticker")).alias("_norm"), "company_key")
+    return lookup_key(coded, side, {"_code": "_norm"}, "company_key", unique=False).drop("_code")
+
+
 def _dated(fact: DataFrame, dim: DataFrame, column: str) -> DataFrame:
     dated = fact.withColumn("full_date", as_date(fact, column))
     return lookup_key(dated, dim, {"full_date": "full_date"}, "date_key")
@@ -153,13 +169,7 @@ def fact_chip_market_price(prices: DataFrame, dims: Mapping[str, DataFrame]) ->
 
 def fact_stock_market(bars: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Daily bars; companies that share a ticker count as one, so nothing fans out."""
-    keyed = lookup_key(
-        _dated(bars, dims["dim_date"], "date"),
-        dims["dim_company"],
-        {"ticker": "ticker"},
-        "company_key",
-        unique=False,
-    )
+    keyed = _by_company(_dated(bars, dims["dim_date"], "date"), dims["dim_company"], "ticker")
     grain = [F.col("full_date"), F.col("ticker")]
     return _keyed(keyed, "stock_fact_key", grain, ["date_key", "company_key", *fixed.BAR_MEASURES])
 
@@ -186,7 +196,7 @@ def fact_semiconductor_production(
         ],
         fixed.INNOVATION_MEASURES,
     )
-    keyed = _by_name(joined, dims["dim_company"], "company_name", "company_name", "company_key")
+    keyed = _by_company(joined, dims["dim_company"], "company_name")
     keyed = _by_name(keyed, dims["dim_country"], "country_name", "country_name", "country_key")
     technology = dims["dim_technology"].withColumn("node_size_nm", node)
     keyed = lookup_key(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 from siltbed.operators.html_rows import html_rows
 from siltbed.plans.bronze import price_rows
@@ -61,6 +62,19 @@ def test_whole_large_pages(frame):
     assert got.groupBy("u").count().filter("count = 5000").count() == 3
 
 
+def test_unclosed_elements_take_linear_time(frame):
+    n = 100_000
+    cells = "<table><tr><td>h" + "<tr><td>1<td>2" + "<td>x" * n
+    paragraphs = "<p>t" * n + "<table><tr><td>h</td></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>"
+    pages = frame([(1, cells), (2, paragraphs)], "i int, html string")
+    start = time.perf_counter()
+    got = html_rows(pages, "html", ["i"], ["a", "b", "c"]).collect()
+    assert time.perf_counter() - start < 30
+    found = {r.i: (r.a, r.b, r.c) for r in got}
+    assert found[2] == ("1", "2", "3")
+    assert found[1] == ("12" + "x" * n, "2" + "x" * n, "x" * n)
+
+
 def test_price_rows(frame):
     pages = frame([("https://h.example/price/dram_spot", PAGE)], "url string, html string")
     got = price_rows(pages)
