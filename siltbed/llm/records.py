@@ -32,6 +32,9 @@ from siltbed.sources.session import staging_path
 LENGTH, CHECK, HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qII")
 MASK_DELTA = 0xA282EAD8
 NO_ID = -(1 << 63)
+
+# Code points of a text in the keys that ranges are cut by.
+KEY_CHARS = 64
 MANIFEST = "part int, shard string, n_records long, n_tokens long, n_bytes long"
 
 
@@ -143,7 +146,10 @@ def write_records(
                 ),
             )
 
-    dealt = docs.select(id, text).repartitionByRange(id, text).sortWithinPartitions(id, text)
+    # The driver samples the range keys, so texts take part by their beginning only; a range
+    # holds all rows that share one, and the sort inside it compares whole texts.
+    ranges = docs.select(id, text).repartitionByRange(F.col(id), F.substring(F.col(text), 1, KEY_CHARS))
+    dealt = ranges.sortWithinPartitions(id, text)
     dealt.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.parquet(f"{folder}/manifest")
 
