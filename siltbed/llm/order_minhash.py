@@ -23,6 +23,10 @@ from siltbed.llm.words import combine, mix
 from siltbed.sources.session import staged
 
 
+#: Code points of a text in the keys that ranges are cut by.
+KEY_CHARS = 64
+
+
 @dataclass(frozen=True)
 class Shape:
     """k-mer length in code points, number of tuples, k-mers in a tuple."""
@@ -177,7 +181,10 @@ def order_minhash(docs: DataFrame, shape: Shape = Shape(), id: str = "doc_id", t
                 yield pa.RecordBatch.from_pylist(rows, schema=FIELDS)
 
     dealt = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    dealt = dealt.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # The driver samples the range keys, so texts take part by their beginning only; a range
+    # holds all rows that share one, and the sort inside it compares whole texts.
+    ranges = dealt.repartitionByRange(F.col("doc_id"), F.substring("text", 1, KEY_CHARS))
+    dealt = ranges.sortWithinPartitions("doc_id", "text")
     done = staged(dealt.mapInArrow(run, SCHEMA))
     # Task numbers without rows are skipped by numbering those that have some.
     by_part = Window.orderBy("part")
