@@ -337,6 +337,7 @@ disruption AS (
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)
 SELECT {key_sql("r.year", "country_name")} AS risk_fact_key, {key_sql("make_date(r.year, 1, 1)")} AS date_key,
+       {key_sql("country_name")} AS country_key,
        CASE WHEN region IS NOT NULL THEN {key_sql("region_name")} END AS region_key,
        r.year, country_name, region_name, risk_level, disruptions
 FROM risk r LEFT JOIN disruption d ON r.year = d.year AND r.region_name = lower(trim(d.region))""")
@@ -373,11 +374,14 @@ def fact_region_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "region").select(lower_trim(F.col("r_name")).alias("name"))
     regions = distinct_dimension(names, "region_key", {"name": "name"})
     dates = date_dimension([(risk, "year")], [])
+    countries = distinct_dimension(risk, "country_key", {"country_name": "name"})
+    fact = lookup_key(fact, countries, {"country_name": "name"}, "country_key")
     fact = lookup_key(fact, regions, {"region_name": "name"}, "region_key")
     fact = lookup_key(fact, dates, {"full_date": "full_date"}, "date_key")
     return fact.select(
         surrogate_key(F.col("year"), F.col("country_name")).alias("risk_fact_key"),
         "date_key",
+        "country_key",
         "region_key",
         "year",
         "country_name",
