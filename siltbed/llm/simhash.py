@@ -252,6 +252,13 @@ def _coded(frame: pd.DataFrame, keys: list[str]) -> tuple[np.ndarray, np.ndarray
     return frame["fingerprint"].to_numpy(dtype=np.int64).view(np.uint64), bucket
 
 
+def fingerprint_roots(distinct: DataFrame, radius: int = 3) -> DataFrame:
+    """The columns of distinct fingerprints and ``root``, the smallest one of their component."""
+    roots = connected_components(link_fingerprints(distinct, radius))
+    named = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left")
+    return named.select(*distinct.columns, F.coalesce("root", "fingerprint").alias("root"))
+
+
 def simhash_groups(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3
 ) -> DataFrame:
@@ -264,12 +271,7 @@ def simhash_groups(
     """
     marked = staged(fingerprints(docs, id, text, width))
     distinct = marked.groupBy("fingerprint").agg(F.min(id).alias("smallest"))
-    links = link_fingerprints(distinct, radius)
-    roots = connected_components(links)
-    grouped = (
-        distinct.join(roots, distinct["fingerprint"] == roots["node"], "left")
-        .select("fingerprint", "smallest", F.coalesce("root", "fingerprint").alias("root"))
-    )
+    grouped = fingerprint_roots(distinct, radius)
     smallest = grouped.groupBy("root").agg(F.min("smallest").alias("component_id"))
     named = grouped.join(smallest, "root").select("fingerprint", "component_id")
     return marked.join(named, "fingerprint").select(
