@@ -6,7 +6,8 @@ starts and ends in code points.
 
 The patterns are the plain ones with possessive repeats, so no text makes the matcher
 backtrack or recurse, and with a look-behind where a match cannot begin inside a run of
-the characters it starts with; both leave the matches as they are.
+the characters it starts with; both leave the matches as they are. An IBAN has the
+length of its country instead, as what follows it may look like a further group.
 """
 
 from __future__ import annotations
@@ -25,7 +26,41 @@ IP = "(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++"
 #: digits are of use, and the look-arounds keep a longer run from giving a part of itself.
 CARD = "(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])"
 PHONE = "\\+[0-9][ ().0-9-]+[0-9]"
-IBAN = "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"
+#: Characters of an IBAN by country, so that no match takes in the words after an account.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _iban() -> str:
+    """Accounts of the listed countries at their length; other codes as long as they go."""
+    known = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    forms = [f"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"]
+    for length, codes in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    return f"(?<![A-Za-z0-9])(?:{'|'.join(forms)})(?![A-Za-z0-9])"
+
+
+IBAN = _iban()
 NATIONAL_ID = "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 LOCAL_PHONE = "(?<![0-9+)(] ?)\\([0-9]{3}\\) [0-9]{3}-[0-9]{4}(?![0-9-])"
 BASE_KINDS = ("email", "ip", "card", "phone")
