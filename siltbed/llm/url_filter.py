@@ -17,8 +17,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LANES = 8
 #: The filter's size bound: blocks of 8 lanes of 64 bits; 2^15 of them are 2 MB.
 MOST_BLOCKS = 1 << 15
-#: Longest listed path that is looked up; lists with longer ones are refused.
-MOST_PATH = 4096
 
 
 def host_of(url: Column) -> Column:
@@ -109,7 +107,7 @@ def filter_urls(
         raise ValueError(f"blocks must be 1 to {MOST_BLOCKS}")
     listed = listed_entries(entries)
     bits = bloom_filter(listed, blocks).scalar()
-    lengths = listed.agg(F.sort_array(F.collect_set(F.least(F.length("path"), F.lit(MOST_PATH + 1))))).scalar()
+    lengths = listed.agg(F.sort_array(F.collect_set(F.length("path")))).scalar()
     judged = pages.select(
         F.col(key),
         host_of(F.col(url)).alias("host"),
