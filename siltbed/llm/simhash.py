@@ -3,8 +3,8 @@
 Fingerprints are compared inside buckets that share one of several bit blocks. A bucket's
 fingerprints stand as bit planes: one machine word holds the same bit of 64 of them. A
 query's distance to all of them grows plane by plane in carry-save counters, one word
-operation for 64 distances, and a query is given up as soon as all its distances exceed
-the radius.
+operation for 64 distances, and a query leaves a word as soon as all its distances to the
+64 in it exceed the radius.
 """
 
 from __future__ import annotations
@@ -94,6 +94,11 @@ def planes_of(values: np.ndarray) -> np.ndarray:
     return np.packbits(bits.T.copy(), axis=1, bitorder="little").view(np.uint64)
 
 
+def open_words(beyond: np.ndarray) -> np.ndarray:
+    """Places of the words in which some distance is still within the radius."""
+    return np.flatnonzero(beyond != ALL)
+
+
 def within_radius(queries: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions (query, value) of all pairs that differ in at most ``radius`` bits.
 
@@ -104,25 +109,25 @@ def within_radius(queries: np.ndarray, values: np.ndarray, radius: int) -> tuple
         raise ValueError("radius must be 0 to 3")
     planes = planes_of(values)
     words = planes.shape[1]
-    alive = np.arange(len(queries))
-    q = queries.copy()
-    ones = np.zeros((len(q), words), dtype=np.uint64)
+    # One entry per query and word of 64 values, dropped as soon as all 64 are beyond.
+    query, word = np.divmod(np.arange(len(queries) * words), max(words, 1))
+    ones = np.zeros(len(query), dtype=np.uint64)
     twos, beyond = np.zeros_like(ones), np.zeros_like(ones)
     if len(values) % 64:
-        beyond[:, -1] = ALL << np.uint64(len(values) % 64)
+        beyond[word == words - 1] = ALL << np.uint64(len(values) % 64)
     for bit in range(BITS):
-        asked = ((q >> np.uint64(bit)) & np.uint64(1)).astype(bool)
-        differs = np.where(asked[:, None], ~planes[bit], planes[bit])
+        asked = np.where((queries >> np.uint64(bit)) & np.uint64(1), ALL, np.uint64(0))
+        differs = planes[bit][word] ^ asked[query]
         carry = ones & differs
         ones ^= differs
         beyond |= twos & carry
         twos ^= carry
         if bit % 8 == 7 and bit > 8:
-            open_ = (beyond != ALL).any(axis=1)
-            if not open_.all():
-                alive, q = alive[open_], q[open_]
-                ones, twos, beyond = ones[open_], twos[open_], beyond[open_]
-                if not len(alive):
+            live = open_words(beyond)
+            if len(live) < len(beyond):
+                query, word = query[live], word[live]
+                ones, twos, beyond = ones[live], twos[live], beyond[live]
+                if not len(live):
                     break
     if radius < 3:
         distance_3, distance_2 = ones & twos, twos & ~ones
@@ -131,9 +136,9 @@ def within_radius(queries: np.ndarray, values: np.ndarray, radius: int) -> tuple
             beyond |= distance_2
         if radius < 1:
             beyond |= ones
-    hits = np.unpackbits((~beyond).view(np.uint8), axis=1, bitorder="little")
-    row, column = np.nonzero(hits)
-    return alive[row], column
+    hits = np.unpackbits((~beyond).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    entry, place = np.nonzero(hits)
+    return query[entry], 64 * word[entry] + place
 
 
 class Forest:
