@@ -7,7 +7,7 @@ as codes into its distinct words, so that per-word work is done once per distinc
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Bytes of text that are worked on at once. Arrays per word take some ten times that.
+SLICE_BYTES = 2 << 20
+
+
+def text_bytes(texts: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Bytes of each text; none for null."""
+    return np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], at: int | str, rows: int = 4096, most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of column ``at`` take at most ``most`` bytes, or are one row.
+
+    Memory follows the bytes of the texts, not their number: a slice of many short texts and
+    one of a single long text need about the same.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = np.cumsum(text_bytes(batch.column(at)))
+        first = 0
+        while first < batch.num_rows:
+            taken = ends[first - 1] if first else 0
+            last = int(np.searchsorted(ends, taken + most, side="right"))
+            last = min(max(last, first + 1), first + rows, batch.num_rows)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 class WordBatch:
     """Words of a batch of texts: ``codes`` into ``distinct``, cut by ``offsets``."""
 
