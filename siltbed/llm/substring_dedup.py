@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.words import SPACES, WordBatch, combine, mix
+from siltbed.llm.words import SLICE_BYTES, SPACES, WordBatch, combine, mix, slices
 
 WIDTH = 20
 #: Contexts grow with the rounds: after two, a symbol hangs on seven words or so, enough to be
@@ -37,8 +37,6 @@ ROUNDS = 2
 #: An odd number, whose powers weigh the words of a range digest, and its inverse mod 2^64.
 BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
-#: Rows of a batch that are handled at once.
-SLICE = 4000
 #: Stands for the number of all windows of a text.
 WHOLE = -1
 #: Stands for a null id, which comes before all others.
@@ -215,9 +213,11 @@ def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
 
 
-ANCHORS = "name long, k long, ord int, start int, n int"
-WINDOWS = "wa long, wb long, settled boolean, k long, ord int, start int, n int"
-REMOVED = "k long, ord int, start int, n int"
+ANCHORS = "name long, settled boolean, k long, h long, ord int, start int, n int"
+WINDOWS = "wa long, wb long, settled boolean, k long, h long, ord int, start int, n int"
+REMOVED = "k long, h long, ord int, start int, n int"
+#: What tells a row from all others: its id, a digest of its text, and a number among equal rows.
+ROW = ["k", "h", "ord"]
 
 
 def _batch(schema: str, *columns: np.ndarray) -> pa.RecordBatch:
@@ -227,46 +227,57 @@ def _batch(schema: str, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first in range(0, batch.num_rows, SLICE):
-            yield batch.slice(first, SLICE)
+def _row_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(np.asarray(batch.column(c)) for c in ROW)
+
 
+def _find_anchors(width: int, most: int):
+    """Symbols of the windows. Of those that repeat within a slice one marker goes on.
+
+    So a name that a third of all texts share reaches its task once per slice. Rows it stood
+    for are settled: they go on under numbers of their own.
+    """
 
-def _find_anchors(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches, "text", most=most):
             words = WordBatch(batch.column("text"))
             symbol, row, start, n = window_symbols(word_digests(words)[:, 0], words.offsets, width)
-            k, ord_ = np.asarray(batch.column("k")), np.asarray(batch.column("ord"))
-            yield _batch(ANCHORS, symbol.view(np.int64), k[row], ord_[row], start, n)
+            k, h, ord_ = _row_keys(batch)
+            found, which, count = np.unique(symbol, return_inverse=True, return_counts=True)
+            settled = (count > 1)[which]
+            at = (h[row].astype(np.uint64) + mix(start.astype(np.uint64))) if len(row) else symbol
+            name = np.where(settled, mix(at), symbol)
+            yield _batch(ANCHORS, name.view(np.int64), settled, k[row], h[row], ord_[row], start, n)
+            marks = found[count > 1]
+            none = np.zeros(len(marks), np.int64)
+            yield _batch(ANCHORS, marks.view(np.int64), none.astype(bool), none, none, none, none, none)
 
     return run
 
 
 def _repeated_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by name, those whose name another row has too."""
+    """Of rows sorted by settled and name, those that are settled or whose name another row has too."""
     held: pa.RecordBatch | None = None
     seen = False
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
-            name = np.concatenate([np.asarray(held.column(0)), np.asarray(batch.column(0))[:1]])
-            same = name[1:] == name[:-1]
-            keep = same | np.concatenate([[seen], same[:-1]])
-            yield _kept(held, keep)
+            name, settled = (np.concatenate([np.asarray(held.column(i)), np.asarray(batch.column(i))[:1]]) for i in (0, 1))
+            same = (name[1:] == name[:-1]) & (settled[1:] == settled[:-1])
+            yield _kept(held, same | np.concatenate([[seen], same[:-1]]))
             seen = bool(same[-1])
         held = batch
     if held is not None:
-        name = np.asarray(held.column(0))
-        same = np.append(name[1:] == name[:-1], False)
+        name, settled = (np.asarray(held.column(i)) for i in (0, 1))
+        same = np.append((name[1:] == name[:-1]) & (settled[1:] == settled[:-1]), False)
         yield _kept(held, same | np.concatenate([[seen], same[:-1]]))
 
 
-def _kept(batch: pa.RecordBatch, keep: np.ndarray) -> pa.RecordBatch:
-    rows = batch.filter(pa.array(keep))
-    return pa.RecordBatch.from_arrays([rows.column(i) for i in range(1, 5)], names=["k", "ord", "start", "n"])
+def _kept(batch: pa.RecordBatch, repeated: np.ndarray) -> pa.RecordBatch:
+    """The rows to go on, without the markers, which span no windows."""
+    keep = (repeated | np.asarray(batch.column("settled"))) & (np.asarray(batch.column("n")) > 0)
+    return batch.filter(pa.array(keep)).select(["k", "h", "ord", "start", "n"])
 
 
 def _of_row(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -279,12 +290,12 @@ def _of_row(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray,
     return parents[own], start, n
 
 
-def _digest_windows(width: int):
+def _digest_windows(width: int, most: int):
     """Digests of the windows in question; those that repeat within the batch are settled here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            batch = batch.take(pc.sort_indices(pa.Table.from_batches([batch]), [("k", "ascending"), ("ord", "ascending")]))
+        for batch in slices(batches, "text", most=most):
+            batch = batch.take(pc.sort_indices(pa.Table.from_batches([batch]), [(c, "ascending") for c in ROW]))
             words = WordBatch(batch.column("text"))
             names = word_digests(words)
             row, start, n = _of_row(batch, "spans")
@@ -297,11 +308,11 @@ def _digest_windows(width: int):
             later[order] = ~fresh & (b[order] == b[head])
             owner = np.searchsorted(words.offsets, place, side="right") - 1
             at = place - words.offsets[owner]
-            k, ord_ = np.asarray(batch.column("k")), np.asarray(batch.column("ord"))
+            k, h, ord_ = _row_keys(batch)
             mine = ~later
             yield _batch(
                 WINDOWS, a[mine].view(np.int64), b[mine].view(np.int64), np.zeros(mine.sum(), bool), k[owner[mine]],
-                ord_[owner[mine]], at[mine], np.ones(mine.sum(), np.int64),
+                h[owner[mine]], ord_[owner[mine]], at[mine], np.ones(mine.sum(), np.int64),
             )
             # Neighbouring windows are one span.
             gone = place[later]
@@ -309,8 +320,8 @@ def _digest_windows(width: int):
             o, s = owner[later][first], at[later][first]
             length = np.diff(np.append(first, len(gone)))
             yield _batch(
-                WINDOWS, mix(k[o].astype(np.uint64) + s.astype(np.uint64)).view(np.int64), np.zeros(len(o), np.int64),
-                np.ones(len(o), bool), k[o], ord_[o], s, length,
+                WINDOWS, mix(h[o].astype(np.uint64) + s.astype(np.uint64)).view(np.int64), np.zeros(len(o), np.int64),
+                np.ones(len(o), bool), k[o], h[o], ord_[o], s, length,
             )
 
     return run
@@ -328,12 +339,12 @@ def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         same = np.concatenate([[False], (both[1:] == both[:-1]).all(axis=1)])[len(before) :]
         rows = batch.filter(pa.array(settled | same))
         before = key[-1:]
-        yield pa.RecordBatch.from_arrays([rows.column(i) for i in range(3, 7)], names=["k", "ord", "start", "n"])
+        yield rows.select(["k", "h", "ord", "start", "n"])
 
 
-def _cut_texts(width: int):
+def _cut_texts(width: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches, "text", most=most):
             words = WordBatch(batch.column("text"))
             counts = words.counts()
             row, start, n = _of_row(batch, "spans")
@@ -357,39 +368,43 @@ def _cut_texts(width: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str = "text", slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """(id, n_words, n_removed, kept_text): every text without the passages found earlier.
 
     A window of ``width`` words repeats if its words also start earlier: in a document of a
     smaller id, or in the same one. All words under repeating windows go; the first
-    occurrence stays. Kept words are joined by single spaces. Rows with equal ids are
-    documents in the order of their texts; a null id comes first and a null text has no
-    words. Texts below the width keep all words. Further columns are not read.
-
-    Texts are dealt by their id once and that exchange serves all passes over them. Copies of
-    whole documents are settled first. Other exchanges carry symbols of about every sixth word, then the windows in question,
-    of which each task sends an equal one only once.
+    occurrence stays. Kept words are joined by single spaces. Ids are integers. Rows with
+    equal ids are documents of their own, in the order of a digest of their texts; a null id
+    comes first and a null text has no words. Texts below the width keep all words. Further
+    columns are not read. An empty table stays empty.
+
+    Texts are dealt once, by id and digest so that rows that share an id are spread, and that
+    exchange serves all passes over them. Copies of whole documents are settled first. Other
+    exchanges carry symbols of about every sixth word, then the windows in question, of which
+    each slice of ``slice_bytes`` sends an equal one only once.
     """
     key = F.coalesce(F.col(id).cast("long"), F.lit(NO_ID))
-    dealt = docs.select(key.alias("k"), F.col(text).alias("text")).repartition("k")
-    # Rows of one id already lie together; the number tells them apart.
-    dealt = dealt.withColumn("ord", F.row_number().over(Window.partitionBy("k").orderBy("text")))
+    dealt = docs.select(key.alias("k"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text")).repartition("k", "h")
+    # Equal rows already lie together; the number tells them apart.
+    dealt = dealt.withColumn("ord", F.row_number().over(Window.partitionBy("k", "h").orderBy("text")))
     copies = later_copies(dealt)
     none = F.array().cast("array<struct<ord:int,start:int,n:int>>")
     known = F.coalesce("spans", none)
-    fresh = dealt.join(_spans(copies), "k", "left").where(~F.exists(known, lambda x: x["ord"] == F.col("ord")))
-    anchors = fresh.select("k", "ord", "text").mapInArrow(_find_anchors(width), ANCHORS)
-    shared = anchors.repartition("name").sortWithinPartitions("name").mapInArrow(_repeated_names, REMOVED)
-    asked = dealt.join(_spans(shared), "k").select("k", "ord", "text", "spans")
-    windows = asked.mapInArrow(_digest_windows(width), WINDOWS)
+    fresh = dealt.join(_spans(copies), ["k", "h"], "left").where(~F.exists(known, lambda x: x["ord"] == F.col("ord")))
+    anchors = fresh.select(*ROW, "text").mapInArrow(_find_anchors(width, slice_bytes), ANCHORS)
+    shared = anchors.repartition("name").sortWithinPartitions("settled", "name").mapInArrow(_repeated_names, REMOVED)
+    asked = dealt.join(_spans(shared), ["k", "h"]).select(*ROW, "text", "spans")
+    windows = asked.mapInArrow(_digest_windows(width, slice_bytes), WINDOWS)
     later = (
         windows.repartition("wa", "wb")
-        .sortWithinPartitions("settled", "wa", "wb", "k", "ord", "start")
+        .sortWithinPartitions("settled", "wa", "wb", *ROW, "start")
         .mapInArrow(_later_windows, REMOVED)
     )
     gone = _spans(later.union(copies))
-    cut = dealt.join(gone, "k", "left").select("k", "ord", "text", known.alias("spans"))
-    done = cut.mapInArrow(_cut_texts(width), "k long, n_words long, n_removed long, kept_text string")
+    cut = dealt.join(gone, ["k", "h"], "left").select(*ROW, "text", known.alias("spans"))
+    done = cut.mapInArrow(_cut_texts(width, slice_bytes), "k long, n_words long, n_removed long, kept_text string")
     kind = docs.schema[id].dataType
     return done.select(F.nullif(F.col("k"), F.lit(NO_ID)).cast(kind).alias(id), "n_words", "n_removed", "kept_text")
 
@@ -401,13 +416,13 @@ def later_copies(dealt: DataFrame) -> DataFrame:
     account, the originals have single windows compared.
     """
     joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), f"{SPACES}+", " "))
-    marked = dealt.select(F.md5(joined).alias("digest"), "k", "ord")
-    at = F.struct("k", "ord")
+    marked = dealt.select(F.md5(joined).alias("digest"), *ROW)
+    at = F.struct(*ROW)
     firsts = marked.groupBy("digest").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = marked.join(firsts, "digest").where(at != F.col("first"))
-    return later.select("k", "ord", F.lit(0).alias("start"), F.lit(WHOLE).alias("n"))
+    return later.select(*ROW, F.lit(0).alias("start"), F.lit(WHOLE).alias("n"))
 
 
 def _spans(rows: DataFrame) -> DataFrame:
-    """Spans of windows as one list per id, as long as a document at most."""
-    return rows.groupBy("k").agg(F.collect_list(F.struct("ord", "start", "n")).alias("spans"))
+    """Spans of windows as one list per id and text, as long as a document at most."""
+    return rows.groupBy("k", "h").agg(F.collect_list(F.struct("ord", "start", "n")).alias("spans"))

@@ -9,17 +9,23 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from siltbed.llm import substring_dedup
-from siltbed.llm.substring_dedup import remove_repeats, window_digests, window_symbols
+from siltbed.llm.substring_dedup import _find_anchors, remove_repeats, window_digests, window_symbols
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def digest(text):
+    """What orders rows of one id."""
+    h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (h >> 63 << 64)
+
+
 def plain(rows, width=20):
     """(id, n_words, n_removed, kept text) from (id, text) in any order."""
-    docs = sorted(((i, t) for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    docs = sorted(((i, t) for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, digest(r[1])))
     seen, out = set(), []
     for doc_id, text in docs:
         w = WORDS.findall(text or "")
@@ -43,9 +49,8 @@ def test_equals_plain_python(docs, rows):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_passages_of_all_kinds(spark, seed, monkeypatch):
-    """Passages, copies, runs of one word and small vocabularies, over many small slices."""
-    monkeypatch.setattr(substring_dedup, "SLICE", 7)
+def test_passages_of_all_kinds(spark, seed):
+    """Passages, copies, runs of one word and small vocabularies, over slices of some rows, one row and all."""
     rng = random.Random(seed)
     vocabulary = ["a"] * seed + [f"w{i}" for i in range(3 if seed == 3 else 60)]
     passages = [[rng.choice(vocabulary) for _ in range(rng.randrange(15, 90))] for _ in range(6)]
@@ -56,7 +61,31 @@ def test_passages_of_all_kinds(spark, seed, monkeypatch):
             words += rng.choice(passages) if rng.random() < 0.4 else [rng.choice(vocabulary) for _ in range(rng.randrange(40))]
         rows.append((i if i % 9 else rng.randrange(60, 64), " ".join(words)))
     rows += [(None, rows[5][1]), (None, None), (200, None), (201, "a " * 90), (202, "a " * 95)]
-    compare(remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)), rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for most in (2000, 1, 1 << 21)[: 2 if seed else 3]:
+        compare(remove_repeats(df, slice_bytes=most), rows)
+
+
+def test_many_rows_share_an_id_and_a_text(spark):
+    rng = random.Random(9)
+    common = [rng.choice("abcdefg") + str(rng.randrange(50)) for _ in range(60)]
+    rows = [(0 if i % 3 else None, " ".join([f"x{rng.randrange(90)}" for _ in range(20)] + common)) for i in range(120)]
+    rows += [(7, " ".join(common))] * 40
+    compare(remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), slice_bytes=3000), rows)
+
+
+def test_a_name_leaves_a_slice_once():
+    """However many texts of a slice share a passage, each of its names goes on as one marker."""
+    import pyarrow as pa
+
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"a{i} b{i} {passage} c{i}" for i in range(200)]
+    numbers = np.arange(200)
+    batch = pa.RecordBatch.from_pydict({"k": numbers, "h": numbers, "ord": numbers, "text": texts})
+    rows = pa.Table.from_batches(list(_find_anchors(20, 1 << 21)(iter([batch])))).to_pandas()
+    going = rows[~rows.settled]
+    assert going.name.value_counts().max() == 1 and len(going[going.n == 0]) < 30
+    assert rows[rows.settled].groupby("k").n.sum().min() >= 30
 
 
 def test_given_table(spark):
