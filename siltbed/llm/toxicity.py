@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm.words import WordBatch, combine, mix
+from siltbed.llm.words import WordBatch, combine, mix, slices
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ class Settings:
 def features(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed features of each text: all places, and where each text's begin.
 
-    Words are compared in lower case and without punctuation around them.
+    Words are compared in lower case and by their letters and digits alone.
     """
     words = WordBatch(texts)
     plain = pc.utf8_lower(pc.replace_substring_regex(words.distinct, "[^\\p{L}\\p{N}]+", ""))
@@ -84,32 +84,40 @@ class Ftrl:
         self.bias_n += g * g
 
 
-def train(labelled: DataFrame, id: str, text: str, label: str, settings: Settings) -> tuple[np.ndarray, float]:
-    """Weights and bias learned from a bounded, seeded sample of labelled rows.
+def chosen_rows(docs: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
+    """(order, text, label) of a bounded, seeded sample of the labelled rows.
 
-    The sample, at most ``settings.most_rows`` rows by a digest of the id, becomes features
-    on the executors; one task learns from these. What returns is sparse and has at most
-    2^bits entries.
+    ``docs`` has (id, text), ``known`` (id, label). The sample is at most
+    ``settings.most_rows`` labels, by a digest of the id, of ids that some document has; only
+    then are texts fetched, the smallest where rows share an id, so no other text moves.
+    """
+    order = F.xxhash64("id", F.lit(settings.seed))
+    there = known.where(F.col("label").isNotNull()).join(docs.select("id"), "id", "left_semi")
+    keys = there.withColumn("order", order).orderBy("order", "id", "label").limit(settings.most_rows)
+    # At most ``most_rows`` ids and labels, whatever the size of the tables.
+    keys = F.broadcast(keys)
+    texts = docs.join(keys.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    return texts.join(keys, "id").select("order", "text", "label")
+
+
+def train(sample: DataFrame, settings: Settings) -> tuple[np.ndarray, float]:
+    """Weights and bias learned from the rows of ``chosen_rows``.
+
+    They become features on the executors; one task learns from these. What returns is
+    sparse and has at most 2^bits entries.
     """
-    sample = (
-        labelled.where(F.col(label).isNotNull())
-        .select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-        .withColumn("order", F.xxhash64("id", F.lit(settings.seed)))
-        .orderBy("order", "id", "text", "label")
-        .limit(settings.most_rows)
-    )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places, bounds = features(pc.fill_null(batch.column(1), ""), settings.bits)
+        for part in slices(batches, 1):
+            places, bounds = features(pc.fill_null(part.column(1), ""), settings.bits)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(places, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["order", "label", "places"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists], names=["order", "label", "places"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [
-            (label, np.asarray(row, dtype=np.int64))
+            (label, np.array(row.values, dtype=np.int32))
             for batch in batches
-            for label, row in zip(batch.column(1).to_pylist(), (r.values for r in batch.column(2)))
+            for label, row in zip(batch.column(1).to_pylist(), batch.column(2))
         ]
         model = Ftrl(settings)
         rng = np.random.default_rng(settings.seed)
@@ -123,9 +131,8 @@ def train(labelled: DataFrame, id: str, text: str, label: str, settings: Setting
         )
 
     learned = (
-        sample.select("order", "text", "label")
-        .mapInArrow(extract, "order long, label int, places array<int>")
-        .coalesce(1)
+        sample.mapInArrow(extract, "order long, label int, places array<int>")
+        .repartition(1)
         .sortWithinPartitions("order", "label", "places")
         .mapInArrow(fit, "place long, weight double")
         .toPandas()
@@ -146,15 +153,16 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, id: str = "doc_id",
         at, values, bias = model.value
         table = np.zeros(1 << bits)
         table[at] = values
-        for batch in batches:
-            for first in range(0, batch.num_rows, 2000):
-                part = batch.slice(first, 2000)
-                places, bounds = features(pc.fill_null(part.column(1), ""), bits)
-                sums = np.concatenate([[0.0], np.cumsum(table[places])])
-                margin = np.clip(sums[bounds[1:]] - sums[bounds[:-1]] + bias, -35, 35)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(1 / (1 + np.exp(-margin)))], names=[id, "score"]
-                )
+        for part in slices(batches, 1):
+            places, bounds = features(pc.fill_null(part.column(1), ""), bits)
+            # Summed text by text, so that equal texts have equal scores wherever they stand.
+            sums, some = np.zeros(part.num_rows), np.diff(bounds) > 0
+            if some.any():
+                sums[some] = np.add.reduceat(table[places], bounds[:-1][some])
+            margin = np.clip(sums + bias, -35, 35)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(1 / (1 + np.exp(-margin)))], names=[id, "score"]
+            )
 
     kind = docs.schema[id].dataType.simpleString()
     return docs.select(id, text).mapInArrow(run, f"`{id}` {kind}, score double")
@@ -172,13 +180,14 @@ def toxicity(
     """Score every document; labels are learned only from rows that are not held out.
 
     A row is held out where crc32 of its id as text, modulo 4, is 2. Null text is empty.
-    Rows may repeat; null ids are scored and never learned from; null labels are not
-    learned from. Without any labels every score is one half.
+    Rows may repeat; of those that share an id the smallest text is learned from. Null ids
+    are scored and never learned from; null labels are not learned from. Without any labels
+    every score is one half. Further columns are not read.
     """
     held_out = F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2
-    known = labels.select(F.col(id), F.col(label).alias("_label")).where(~held_out)
-    labelled = docs.select(id, text).join(known, id)
-    weights, bias = train(labelled, id, text, "_label", settings)
+    known = labels.where(~held_out).select(F.col(id).alias("id"), F.col(label).cast("int").alias("label"))
+    texts = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    weights, bias = train(chosen_rows(texts, known, settings), settings)
     scored = score(docs, weights, bias, id, text)
     return scored.select(
         id,
