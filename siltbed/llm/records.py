@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.tokens import default_tokenizer, encoder, ids_crc32, slices
+from siltbed.llm.tokens import default_tokenizer, encoder, ids_crc32
+from siltbed.llm.words import slices
 from siltbed.sources.session import staging_path
 
 LENGTH, CHECK, HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qII")
@@ -117,7 +118,7 @@ def write_records(
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
         rec = idx = None
         offset = records = tokens = 0
-        for batch in slices(batches):
+        for batch in slices(batches, 1):
             if rec is None:
                 files, local = opened(name)
                 files.create_dir(local.rpartition("/")[0], recursive=True)
@@ -168,6 +169,10 @@ def read_record(shard: str, n: int) -> tuple[int, np.ndarray]:
     return found
 
 
+#: Tasks that read shards; beyond that many shards a task reads some.
+MOST_READERS = 20_000
+
+
 def read_records(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of every document of a run, checked.
 
@@ -211,7 +216,9 @@ def read_records(spark: SparkSession, folder: str, with_ids: bool = False) -> Da
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     kinds = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    spread = placed.select("shard", "n_records", "start").repartition(F.col("shard"))
+    # A task per shard: the number is given, as adaptive execution would put so small a table into one task.
+    shards = max(1, min(manifest.count(), MOST_READERS))
+    spread = placed.select("shard", "n_records", "start").repartitionByRange(shards, "start", "shard")
     return spread.mapInArrow(run, kinds)
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -71,8 +70,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings of special tokens inside a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        #: Strings that the tokenizer takes out of a text before it looks at words.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.known = Known()
         #: Whether a token begins with a space.
@@ -163,10 +162,28 @@ class Encoder:
         return ids, (sizes[parts] * (parts >= 0)).sum(axis=1)
 
     def encode(self, texts: pa.Array | pa.ChunkedArray, end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array and where each text's begin; ``end`` closes each."""
+        """Ids of all texts in one array and where each text's begin; ``end`` closes each.
+
+        Texts that hold the string of an added token are encoded whole by the library.
+        """
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         texts = pc.cast(pc.fill_null(texts, ""), pa.large_string())
+        holds = np.zeros(len(texts), dtype=bool)
+        for content in self.added:
+            holds |= np.asarray(pc.match_substring(texts, content), dtype=bool)
+        if not holds.any():
+            return self._encode(texts, end)
+        ids, bounds = self._encode(texts.filter(pa.array(~holds)), end)
+        whole, n = self._each(texts.filter(pa.array(holds)).to_pylist())
+        if end is not None:
+            whole, n = np.insert(whole, np.cumsum(n), np.uint32(end)), n + 1
+        lengths = np.concatenate([np.diff(bounds), n])
+        order = np.empty(len(texts), np.int64)
+        order[np.concatenate([np.flatnonzero(~holds), np.flatnonzero(holds)])] = np.arange(len(texts))
+        return gathered(np.concatenate([ids, whole]), np.cumsum(lengths) - lengths, lengths, order)
+
+    def _encode(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         codes, bounds, distinct = self.pieces(texts)
@@ -193,13 +210,6 @@ def gathered(
     return flat[np.arange(ends[-1]) + np.repeat(begins[codes] - ends[:-1], each)], ends
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 2500) -> Iterator[pa.RecordBatch]:
-    """Batches in parts small enough that the arrays of one encoding fit beside the others."""
-    for batch in batches:
-        for first in range(0, batch.num_rows, rows):
-            yield batch.slice(first, rows)
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The process's encoder, so that later batches and tasks find the words of earlier ones."""

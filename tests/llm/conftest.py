@@ -20,6 +20,7 @@ def rows():
     texts += [texts[0], texts[1], texts[1] + " tail", None, "", " ", "\n\n", "word", "a b", "x" * 3000]
     texts += [texts[2] + "\n" + texts[3], "same " * 400, texts[4][:200] + texts[5], prose(rng, 9000)]
     texts += ["  two  spaces \n and\ttabs\x0b\x85 here ", "ünï cödé 😀😀 größe " * 9, "A B C d", "a b c D"]
+    texts += ["a <|endoftext|>b", "<|endoftext|>", " <|endoftext|>  x <|endoftext|", "w1 <|endoftext|> w2 w3"]
     rows = [(i * 7 % 101, t, "en", f"src{i % 3}" if i % 5 else None, 0) for i, t in enumerate(texts)]
     return rows
 

@@ -28,7 +28,6 @@ def encode():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(default_tokenizer())
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
 
 
