@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.llm.components import connected_components
-from siltbed.llm.words import WordBatch
+from siltbed.llm.words import WordBatch, slices
 from siltbed.sources.session import staged
 
 BITS = 64
@@ -75,12 +75,10 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
     """(id, fingerprint as BIGINT bits) of every row; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                hashes, offsets = shingle_hashes(lower_ascii(part.column(1)), width)
-                bits = majority_bits(hashes, offsets).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits)], names=[id, "fingerprint"])
+        for part in slices(batches, 1, rows=512):
+            hashes, offsets = shingle_hashes(lower_ascii(part.column(1)), width)
+            bits = majority_bits(hashes, offsets).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits)], names=[id, "fingerprint"])
 
     kind = docs.schema[id].dataType.simpleString()
     return docs.select(id, text).mapInArrow(run, f"`{id}` {kind}, fingerprint long")

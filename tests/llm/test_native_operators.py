@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltbed.llm import stages
-from siltbed.llm.mixing import mix_sources, source_rates
+from siltbed.llm.mixing import mix_sources, poisson_cdf, poisson_draw, source_rates
 from siltbed.llm.pii import BASE_KINDS, find_pii, mask_pii
 from siltbed.llm.quality_rules import quality_rules
 from siltbed.llm.url_filter import filter_urls
@@ -25,7 +25,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     result = duck.execute(ORACLES[name])
@@ -180,13 +180,37 @@ def test_every_stage_follows_its_operator(spark):
         assert stage.columns == docs.columns and stage.dtypes == docs.dtypes
         assert stage.where(F.col("n_chars") != F.length("text")).count() == 0
     assert [name for name, _ in corpus_pipeline.STAGES] == [
-        "quality_rules", "simhash_near_dedup", "mask_pii", "mix_sources", "pack",
+        "quality_rules", "near_dedup", "mask_pii", "mix_sources", "pack",
     ]
     pieces = corpus_pipeline.run(spark, SF_DIR)
     assert pieces.count() > 0 and pieces.where("length <= 0 OR tier > 1024").count() == 0
 
 
 def test_stages_of_awkward_rows(docs, no_docs):
-    for stage in (stages.keep_quality, stages.keep_one_of_each_group, stages.mask, stages.mix):
-        assert stage(docs).dtypes == docs.dtypes and stage(docs).count() >= 0
-        assert stage(no_docs).count() == 0
+    names = "node root group row text_ _node _group _row _text _cleaned mix_source mix_of mix_copy mix_key kept cleaned_text base_spans size sketch"
+    wide = docs.select("*", *[F.lit(f"own {n}").alias(n) for n in names.split()])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        for table in (docs, wide):
+            out = stage(None, table, None).cache()
+            assert out.dtypes == table.dtypes and out.count() > 0
+            assert stage(None, table.limit(0), None).count() == 0
+        for n in names.split():
+            assert out.where(F.col(n) != f"own {n}").count() == 0
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(None, wide, None).where("length <= 0").count() == 0 and last(None, no_docs, None).count() == 0
+    assert stages.keep_one_of_each_group(wide).dtypes == wide.dtypes
+
+
+def test_large_rates_are_drawn_in_parts(spark):
+    """One source of a thousandth of the text at a rate of a thousand and more."""
+    rows = [(i, "x" * 10, "large" if i else "small") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("small", 1.0), ("large", 0.0)], "source string, weight double")
+    out = mix_sources(df, weights)
+    n = out.count()
+    assert abs(n - 2000) < 6 * 2000**0.5 and out.select("mix_copy").distinct().count() == n
+    assert out.agg(F.min("mix_copy"), F.max("mix_copy")).first() == (1, n)
+    curve = spark.range(12).select(F.col("id").cast("string").alias("k"), poisson_cdf(F.col("id") * 0 + 16.0).alias("cdf")).cache()
+    got = [r[0] for r in curve.select(poisson_draw(F.lit(2000).cast("long"), F.col("cdf"), 3, F.col("k"))).collect()]
+    assert all(abs(x - 32000) < 6 * 32000**0.5 for x in got) and len(set(got)) > 6
+    assert curve.select(F.size("cdf").alias("n")).first().n < 200
