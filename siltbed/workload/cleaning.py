@@ -26,7 +26,8 @@ from siltbed.operators.projection import (
     with_missing,
 )
 from siltbed.plans import fixed_values as fixed
-from siltbed.plans.silver import clean_panel
+from siltbed.operators.steps import count_steps, step_table
+from siltbed.plans.silver import clean_bars, clean_panel
 from siltbed.workload.registry import query, rounded, table
 
 
@@ -225,3 +226,71 @@ def silver_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw.unionByName(raw).unionByName(empty), schema, ["balance"], {"node_nm": "nm"}, k=1.5
     )
     return rounded(cleaned, ["balance"])
+
+
+_STEP = (
+    "SELECT '{0}' AS chain, {1} AS position, '{2}' AS step, {3} AS rows_in, {4} AS rows_out, {5} AS nulled, {6} AS flagged "
+    "FROM {0}"
+)
+
+
+def _steps_sql(chain: str, steps: list[tuple[str, str, str, str]], start: str) -> str:
+    parts, before = [], start
+    for i, (name, rows, nulled, flagged) in enumerate(steps, 1):
+        parts.append(_STEP.format(chain, i, name, before, rows, nulled, flagged))
+        before = rows
+    return " UNION ALL ".join(parts)
+
+
+@query(f"""
+WITH customers AS (
+  SELECT c_mktsegment AS segment, CASE WHEN c_custkey % 7 <> 0 THEN c_nationkey END AS nation,
+         c_acctbal AS balance, CASE WHEN c_custkey % 5 <> 0 THEN c_custkey END AS node_nm, c_custkey % 7 = 0 AS bad_nation,
+         c_custkey % 5 = 0 AS bad_node
+  FROM customer),
+stats AS (SELECT avg(c_acctbal) AS m, 1.5 * stddev_samp(c_acctbal) AS d FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer)),
+panel AS (
+  SELECT 2 * count(*) AS n, 2 * count_if(bad_nation) AS bad_nations, 2 * count_if(bad_node) AS bad_nodes,
+         2 * count_if(balance < m - d OR balance > m + d) AS outside,
+         (SELECT count(*) FROM (SELECT DISTINCT segment, nation, greatest(m - d, least(m + d, balance)), node_nm,
+            balance < m - d OR balance > m + d FROM customers, stats)) AS kept
+  FROM customers, stats),
+bars AS (
+  SELECT 2 * count(*) AS n, 2 * count_if(o_orderstatus = 'O') AS bad_dates,
+         2 * count_if(o_orderstatus = 'F' AND o_custkey % 9 <> 0) AS whole, count_if(o_orderstatus = 'F' AND o_custkey % 9 <> 0) AS kept
+  FROM orders)
+{_steps_sql("panel", [
+    ("units", "n + 1", "0", "0"), ("types", "n + 1", "bad_nations + bad_nodes", "0"), ("strings", "n + 1", "0", "0"),
+    ("outliers", "n + 1", "0", "outside"), ("empty_rows", "n", "0", "0"), ("duplicates", "kept", "0", "0")], "n + 1")}
+UNION ALL
+{_steps_sql("bars", [
+    ("dates", "n", "bad_dates", "0"), ("without_key", "whole", "0", "0"), ("duplicates", "kept", "0", "0"),
+    ("features", "kept", "0", "0")], "n")}
+""")
+def step_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every cleaning step dropped, turned into NULL and flagged, counted in the run itself."""
+    key = F.col("c_custkey")
+    nation = F.when(key % 7 == 0, "n/a").otherwise(F.col("c_nationkey").cast("string"))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("Segment"),
+        nation.alias("Nation"),
+        F.col("c_acctbal").cast("string").alias("Balance"),
+        F.when(key % 5 == 0, "some nm").otherwise(F.concat(key.cast("string"), F.lit("nm"))).alias("Node-nm"),
+    )
+    empty = customers.limit(1).select(*[F.lit(None).cast("string").alias(c) for c in customers.columns])
+    schema = {"segment": "string", "nation": "long", "balance": "double", "node_nm": "double"}
+    status = F.col("o_orderstatus")
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_custkey") % 9 != 0, F.col("o_orderkey").cast("string")).alias("ticker"),
+        F.when(status == "F", F.date_format("o_orderdate", "yyyy-MM-dd")).when(status == "O", "soon").alias("date"),
+        *[F.col("o_totalprice").alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(1.0).alias("volume"),
+    )
+    steps = {
+        "panel": count_steps(
+            customers.union(customers).union(empty),
+            lambda df, log: clean_panel(df, schema, ["balance"], {"node_nm": "nm"}, k=1.5, log=log),
+        ),
+        "bars": count_steps(orders.union(orders), lambda df, log: clean_bars(df, log=log)),
+    }
+    return step_table(spark, steps).select("chain", "position", "step", "rows_in", "rows_out", "nulled", "flagged")

@@ -10,6 +10,7 @@ from siltbed.functions import parse_price
 from siltbed.operators import quality as q
 from siltbed.operators.dimensional import lookup_key, with_key
 from siltbed.operators.quantiles import exact_medians, exact_percentiles
+from siltbed.operators.steps import observed_delta
 from siltbed.workload.registry import query, rounded, table
 
 
@@ -263,5 +264,4 @@ def null_fk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT count(*) AS rows_before, count_if(o_orderstatus <> 'P') AS rows_after,
        count_if(o_orderstatus <> 'P') - count(*) AS delta, 'removed' AS change FROM orders""")
 def row_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gappy = _gappy_orders(spark, sf_dir)
-    return q.row_delta(gappy, q.drop_all_null(gappy))
+    return observed_delta(_gappy_orders(spark, sf_dir), "empty_rows", q.drop_all_null)
