@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType
 
 from siltbed.functions import nan_to_null, safe_date
+from siltbed.operators.quantiles import exact_percentiles
 
 
 # ---- filters -----------------------------------------------------------------------------
@@ -212,14 +213,21 @@ def validation_report(
     )
 
 
-def profile(df: DataFrame, quartiles: bool = True, accuracy: int = 10000) -> DataFrame:
+def profile(df: DataFrame, quartiles: bool = True) -> DataFrame:
     """One row per column: count, nulls, min, max and, for numbers, mean, stddev, quartiles.
 
-    A single aggregate over the table; quartiles use mergeable sketches of bounded size.
+    A single aggregate over the table. Quartiles are exact: values that occur, at a quarter,
+    a half and three quarters of the ranks. They take passes of their own, which run when
+    the report is built; without them nothing runs before it is read.
     """
+    numbers = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+    found = None
+    if quartiles and numbers:
+        plain = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(numbers)])
+        found = exact_percentiles(plain, plain.columns, [0.25, 0.5, 0.75]).select(F.struct("*")).scalar()
     entries = []
     for f in df.schema:
-        c, number = F.col(f.name), isinstance(f.dataType, NumericType)
+        c, number = F.col(f"`{f.name}`"), f.name in numbers
         none = F.lit(None).cast("double")
         fields = [
             F.lit(f.name).alias("column_name"),
@@ -231,11 +239,12 @@ def profile(df: DataFrame, quartiles: bool = True, accuracy: int = 10000) -> Dat
             F.max(c).cast("string").alias("max"),
         ]
         if quartiles:
-            sketch = (
-                F.percentile_approx(c.cast("double"), [0.25, 0.5, 0.75], accuracy)
-                if number
-                else F.lit(None).cast("array<double>")
-            )
-            fields.append(sketch.alias("quartiles"))
+            if number:
+                i = numbers.index(f.name)
+                three = F.array(*[found[f"c{i}_p{p}"] for p in (25, 50, 75)])
+                held = F.when(F.count(c) > 0, three)
+            else:
+                held = F.lit(None).cast("array<double>")
+            fields.append(held.alias("quartiles"))
         entries.append(F.struct(*fields))
     return df.agg(F.array(*entries).alias("_columns")).select(F.inline("_columns"))

@@ -1,9 +1,10 @@
 """Exact medians and percentiles without gathering a group.
 
-The built-in exact percentile keeps every distinct value of a group in one place. Here a
-mergeable sketch of bounded size brackets the wanted rank; a second pass counts what lies
-below the bracket and keeps only the few values inside it (about ``6 / accuracy`` of a
-group), already combined per value.
+The built-in exact percentile keeps every distinct value of a group in one place, which is
+fine for groups of bounded size. For larger ones a mergeable sketch of bounded size brackets
+the wanted rank; passes over the table count what lies below each bracket and at its ends
+and sketch again what lies strictly inside, until no bracket holds more than a fixed number
+of values; a last pass collects these, combined per value. No step keeps a share of a group.
 """
 
 from __future__ import annotations
@@ -15,16 +16,30 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltbed.functions import safe_double
+from siltbed.sources.session import staged
+
+#: Values of a group that one task may hold for the built-in percentile.
+SMALL = 200_000
+#: Values that a bracket may hold for the last pass.
+MOST_INSIDE = 1_000_000
+#: Steps of the grid of fractions by which a bracket is narrowed.
+GRID = 1000
 
 
 def exact_medians(
-    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), accuracy: int = 10000
+    df: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str] = (),
+    accuracy: int = 10000,
+    small: int = SMALL,
+    most_inside: int = MOST_INSIDE,
 ) -> DataFrame:
     """Interpolated median per column, one row per key (one row in all without keys).
 
-    NULL is a key like any other; a group without values has a NULL median.
+    NULL is a key like any other; a group without values has a NULL median. Group sizes are
+    counted first, so the call runs jobs: stage a table that is dear to compute.
     """
-    return _exact(df, [(c, 0.5, c) for c in columns], keys, accuracy, interpolate=True)
+    return _exact(df, [(c, 0.5, c) for c in columns], keys, accuracy, True, small, most_inside)
 
 
 def exact_percentiles(
@@ -33,10 +48,94 @@ def exact_percentiles(
     fractions: Sequence[float],
     keys: Sequence[str] = (),
     accuracy: int = 10000,
+    small: int = SMALL,
+    most_inside: int = MOST_INSIDE,
 ) -> DataFrame:
     """Discrete percentiles (an existing value each) in ``<column>_p<percent>``."""
     targets = [(c, p, f"{c}_p{p * 100:g}") for c in columns for p in fractions]
-    return _exact(df, targets, keys, accuracy, interpolate=False)
+    return _exact(df, targets, keys, accuracy, False, small, most_inside)
+
+
+def _built_in(values: DataFrame, targets: Sequence[tuple[str, float, str]], keys: Sequence[str], interpolate: bool) -> DataFrame:
+    """One aggregate for groups of bounded size; what a column's fractions share is kept once."""
+    spots: dict[str, list[tuple[float, str]]] = {}
+    for c, p, name in targets:
+        spots.setdefault(c, []).append((p, name))
+
+    def of(c: str) -> Column:
+        if interpolate:
+            return F.percentile(f"_v_{c}", [p for p, _ in spots[c]])
+        # The value at a rank: counts per value are bounded like the group.
+        held = F.sort_array(F.collect_list(f"_v_{c}"))
+        ranks = [F.greatest(F.ceil(F.size(held) * F.lit(float(p))), F.lit(1)).cast("int") for p, _ in spots[c]]
+        return F.array(*[F.get(held, r - 1) for r in ranks])
+
+    found = values.groupBy(*keys).agg(*[of(c).alias(f"_p_{c}") for c in spots])
+    named = {name: F.get(f"_p_{c}", i) for c in spots for i, (_, name) in enumerate(spots[c])}
+    return found.select(*keys, *[named[name].alias(name) for _, _, name in targets])
+
+
+def _ranks(n: Column, fraction: float, interpolate: bool) -> tuple[Column, Column]:
+    """Ranks, from 1, of the one or two values wanted among ``n``."""
+    if interpolate:
+        return F.floor((n + 1) / 2), F.floor(n / 2) + 1
+    rank = F.greatest(F.ceil(n * F.lit(float(fraction))), F.lit(1))
+    return rank, rank
+
+
+def _bracketed(values: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row with the brackets of its group as ``_b``."""
+    if not keys:
+        return values.withColumn("_b", brackets.select("_b").scalar())
+    # Joined on the packed key: an aggregate on the keys then needs a shuffle of its own, so
+    # adaptive execution is free to split a hot key of this join.
+    packed = F.struct(*keys).alias("_key")
+    return values.select("*", packed).join(brackets.select(packed, "_b"), "_key").drop("_key")
+
+
+def _narrowed(
+    values: DataFrame,
+    brackets: DataFrame,
+    targets: Sequence[tuple[str, float, str]],
+    keys: Sequence[str],
+    accuracy: int,
+    interpolate: bool,
+) -> DataFrame:
+    """Brackets that hold at most some four thousandths of what lay strictly inside before.
+
+    Values at the ends are counted apart: however many rows share one, it is out of the way.
+    """
+    grid = [i / GRID for i in range(GRID + 1)]
+    # Steps that the sketch's error, a share of ``1 / accuracy``, stays below.
+    reach = -(-2 * GRID // accuracy) + 2
+    counts, spots = [], []
+    for i, (c, fraction, _) in enumerate(targets):
+        v, b = F.col(f"_v_{c}"), F.get("_b", i)
+        inside = F.when((v > b["low"]) & (v < b["high"]), v)
+        counts += [
+            F.count_if(v < b["low"]).alias(f"_below{i}"),
+            F.count_if(v == b["low"]).alias(f"_at{i}"),
+            F.count(inside).alias(f"_in{i}"),
+            F.percentile_approx(inside, grid, accuracy).alias(f"_g{i}"),
+            F.first(b).alias(f"_b{i}"),
+        ]
+        old, inside_n = F.col(f"_b{i}"), F.col(f"_in{i}")
+
+        def end(rank: Column, way: int, i: int = i, old: Column = old, inside_n: Column = inside_n) -> Column:
+            """The bracket's end for a rank: itself if it lies there, else a grid value beyond it."""
+            left = rank - F.col(f"_below{i}") - F.col(f"_at{i}")
+            step = F.floor(left / F.greatest(inside_n, F.lit(1)) * GRID).cast("int") + F.lit(way * reach)
+            near = F.get(f"_g{i}", F.greatest(F.lit(0), F.least(F.lit(GRID), step)))
+            # The outermost steps keep the old end: the sketch may miss the rank beyond them.
+            near = F.when(step <= 0, old["low"]).when(step >= GRID, old["high"]).otherwise(near)
+            return F.when(left < 1, old["low"]).when(left > inside_n, old["high"]).otherwise(near)
+
+        lower, upper = _ranks(old["n"], fraction, interpolate)
+        low, high = end(lower, -1), end(upper, 1)
+        held = F.when(low < high, inside_n * ((2 * reach + 2) / GRID)).otherwise(0.0)
+        spots.append(F.struct(old["n"].alias("n"), low.alias("low"), high.alias("high"), held.alias("held")))
+    counted = _bracketed(values, brackets, keys).groupBy(*keys).agg(*counts)
+    return counted.select(*keys, F.array(*spots).alias("_b"))
 
 
 def _exact(
@@ -45,10 +144,15 @@ def _exact(
     keys: Sequence[str],
     accuracy: int,
     interpolate: bool,
+    small: int,
+    most_inside: int,
 ) -> DataFrame:
     margin = 2 / accuracy
     columns = list(dict.fromkeys(c for c, _, _ in targets))
     values = df.select(*keys, *[safe_double(F.col(c)).alias(f"_v_{c}") for c in columns])
+    sizes = values.groupBy(*keys).agg(F.greatest(F.lit(0), *[F.count(f"_v_{c}") for c in columns]).alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= small:
+        return _built_in(values, targets, keys, interpolate)
 
     # One sketch per column serves all its fractions.
     spots = {c: [i for i, t in enumerate(targets) if t[0] == c] for c in columns}
@@ -62,17 +166,14 @@ def _exact(
             F.col(f"_n_{c}").alias("n"),
             F.get(f"_q_{c}", 2 * spots[c].index(i)).alias("low"),
             F.get(f"_q_{c}", 2 * spots[c].index(i) + 1).alias("high"),
+            (F.col(f"_n_{c}") * (6 / accuracy)).alias("held"),
         )
         for i, (c, _, _) in enumerate(targets)
     ]
-    if keys:
-        # Joined on the packed key: the aggregate below then needs a shuffle of its own, so
-        # adaptive execution is free to split a hot key of this join.
-        packed = F.struct(*keys).alias("_key")
-        bracketed = sketch.select(packed, F.array(*brackets).alias("_b"))
-        ranged = values.select("*", packed).join(bracketed, "_key")
-    else:
-        ranged = values.withColumn("_b", sketch.select(F.array(*brackets)).scalar())
+    bracketed = staged(sketch.select(*keys, F.array(*brackets).alias("_b")))
+    while bracketed.agg(F.max(F.array_max(F.transform("_b", lambda b: b["held"])))).first()[0] > most_inside:
+        bracketed = staged(_narrowed(values, bracketed, targets, keys, accuracy, interpolate))
+    ranged = _bracketed(values, bracketed, keys)
 
     # One short row per value up to its bracket; those below it merge into a count.
     value, bracket = F.col("_v"), F.col("_b")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
 from siltbed.operators import quality as q
+from siltbed.operators import quantiles
 from siltbed.operators.quantiles import exact_medians, exact_percentiles
 
 
@@ -96,9 +97,13 @@ def test_profile(frame):
     assert (got["s"].mean, got["s"].min, got["s"].quartiles) == (None, "a", None)
 
 
-@pytest.mark.parametrize("accuracy", [10, 100, 10000])
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_exact_medians(frame, seed, accuracy):
+#: Built-in for small groups, one bracket, and brackets that are narrowed again and again.
+WAYS = [{}, {"small": 0}, {"small": 0, "most_inside": 4}]
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("seed,accuracy", [(1, 10), (2, 100), (3, 10000)])
+def test_exact_medians(frame, seed, accuracy, way):
     rng = random.Random(seed)
     rows = []
     for key, size in (("hot", 701), ("even", 40), ("two", 2), ("one", 1), ("none", 3), (None, 9)):
@@ -111,17 +116,18 @@ def test_exact_medians(frame, seed, accuracy):
         kept = [r[i] for r in rows if r[i] is not None and (key == "*" or r[0] == key)]
         return statistics.median(kept) if kept else None
 
-    got = {r.k: (r.x, r.y) for r in exact_medians(df, ["x", "y"], ["k"], accuracy).collect()}
+    got = {r.k: (r.x, r.y) for r in exact_medians(df, ["x", "y"], ["k"], accuracy, **way).collect()}
     assert got == {k: (median(k, 1), median(k, 2)) for k in ("hot", "even", "two", "one", "none", None)}
-    overall = exact_medians(df, ["x", "y"], accuracy=accuracy).collect()
+    overall = exact_medians(df, ["x", "y"], accuracy=accuracy, **way).collect()
     assert [tuple(r) for r in overall] == [(median("*", 1), median("*", 2))]
 
 
-def test_exact_percentiles(frame):
+@pytest.mark.parametrize("way", WAYS)
+def test_exact_percentiles(frame, way):
     rng = random.Random(9)
     values = [float(rng.randrange(200)) for _ in range(503)]
     df = frame([(v,) for v in values], "v double").repartition(4)
-    row = exact_percentiles(df, ["v"], [0.0, 0.1, 0.25, 0.999, 1.0], accuracy=50).first()
+    row = exact_percentiles(df, ["v"], [0.0, 0.1, 0.25, 0.999, 1.0], accuracy=50, **way).first()
     ordered = sorted(values)
     ranks = {"v_p0": 1, "v_p10": 51, "v_p25": 126, "v_p99.9": 503, "v_p100": 503}
     assert row.asDict() == {name: ordered[rank - 1] for name, rank in ranks.items()}
@@ -133,6 +139,28 @@ def test_medians_of_nothing(frame):
     assert exact_medians(df, ["v"]).first().v is None
 
 
+def test_no_bracket_holds_a_share_of_a_group(spark):
+    """Brackets shrink by passes until they hold few values, also where one value is most of a group."""
+    tied = F.when(F.col("id") % 10 < 6, 0.5).otherwise(F.hash("id") / 2**32)
+    df = spark.range(0, 60_000, 1, 4).select((F.col("id") % 2).alias("k"), tied.alias("v"), F.hash("id", F.lit(1)).cast("double").alias("w"))
+    rows = [(r.k, r.v, r.w) for r in df.collect()]
+    got = {r.k: r for r in exact_percentiles(df, ["v", "w"], [0.25, 0.5], ["k"], small=0, most_inside=20).collect()}
+    for k in (0, 1):
+        for i, c in ((1, "v"), (2, "w")):
+            ordered = sorted(r[i] for r in rows if r[0] == k)
+            assert [got[k][f"{c}_p{p}"] for p in (25, 50)] == [ordered[-(-len(ordered) * p // 100) - 1] for p in (25, 50)]
+    values = df.select("k", F.col("v").alias("_v_v"))
+    begin = values.groupBy("k").agg(
+        F.array(F.struct(F.count("_v_v").alias("n"), F.min("_v_v").alias("low"), F.max("_v_v").alias("high"), F.lit(1e9).alias("held"))).alias("_b")
+    )
+    held = []
+    for _ in range(3):
+        begin = quantiles._narrowed(values, begin, [("v", 0.25, "v")], ["k"], 10000, False).cache()
+        b = begin.where("k = 0").select(F.get("_b", 0).alias("b")).first().b
+        held.append(df.where((F.col("k") == 0) & (F.col("v") > b.low) & (F.col("v") < b.high)).select("v").distinct().count())
+    assert held[0] <= 0.01 * 30_000 and held[-1] <= 8
+
+
 def test_reports_stay_lazy(spark):
     """Building a report must not run a job."""
     tracker = spark.sparkContext.statusTracker()
@@ -141,8 +169,7 @@ def test_reports_stay_lazy(spark):
     df = spark.range(10).withColumn("v", F.col("id") * 1.0)
     q.flag_and_cap(df, ["v"])
     q.validation_report(df, "s")
-    q.profile(df)
-    exact_medians(df, ["v"])
+    q.profile(df, quartiles=False)
     assert list(tracker.getJobIdsForGroup(group)) == []
 
 
@@ -152,7 +179,7 @@ def test_hot_key_join_feeds_its_own_shuffle(spark, frame):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = exact_medians(df, ["v"], ["k"])._jdf.queryExecution().executedPlan().toString()
+        plan = exact_medians(df, ["v"], ["k"], small=0)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     above_join = plan[: plan.index("SortMergeJoin")]
