@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltbed.sources.readers import concat_bars, read_csv, read_table
 from siltbed.sources.session import staging_path
+from siltbed.sources.split_csv import read_split_csv
 from siltbed.sources.writers import write_table
 from siltbed.workload.registry import query, table
 from siltbed.workload.series import BARS_SQL, bars
@@ -24,6 +25,32 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+@query("SELECT doc_id, source, text FROM documents")
+def split_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with their line breaks and quotes from CSV files that many tasks read."""
+    path = staging_path(spark)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    documents.write.options(header=True, escape='"').csv(path)
+    return read_split_csv(spark, path, documents.schema).rows
+
+
+@query("""
+SELECT p_size, count(*) AS n_parts FROM (
+  SELECT CASE WHEN p_partkey % 3 = 0 THEN 'malformed' ELSE CAST(p_size AS VARCHAR) END AS p_size FROM part)
+GROUP BY p_size""")
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by size, those whose size is no number by the reason they are quarantined for."""
+    path = staging_path(spark)
+    broken = F.col("p_partkey") % 3 == 0
+    size = F.when(broken, F.lit("two\nlines")).otherwise(F.col("p_size").cast("string"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", size.alias("p_size"), F.concat("p_name", F.lit('\n"')).alias("name"))
+    parts.write.options(header=True, escape='"').csv(path)
+    read = read_split_csv(spark, path, "p_partkey bigint, p_size int, name string")
+    sizes = read.rows.select(F.col("p_size").cast("string").alias("p_size"))
+    reasons = read.quarantine.select(F.col("reason").alias("p_size"))
+    return sizes.unionByName(reasons).groupBy("p_size").agg(F.count(F.lit(1)).alias("n_parts"))
+
+
 @query("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')")
 def partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written by key, read back with the key discovered and other keys' folders skipped."""
