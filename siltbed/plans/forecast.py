@@ -27,9 +27,9 @@ from siltbed.operators.projection import select_once
 from siltbed.operators.quality import require
 from siltbed.operators.rollup import average_panel
 from siltbed.plans import fixed_values as fixed
-from siltbed.sources.readers import read_tables
+from siltbed.sources.readers import read_table
 from siltbed.sources.session import staged
-from siltbed.sources.writers import WriteResult, write_table
+from siltbed.sources.writers import Reader, Writer, WriteResult, write_table
 
 GOLD_TABLES = {
     **{
@@ -138,11 +138,13 @@ def forecast_tables(
     }
 
 
-def run_forecast(spark: SparkSession, lake: str, **options) -> dict[str, WriteResult]:
-    """Read gold, forecast, write the four tables."""
-    tables = read_tables(spark, lake, GOLD_TABLES)
+def run_forecast(
+    spark: SparkSession, lake: str, write: Writer = write_table, read: Reader = read_table, **options
+) -> dict[str, WriteResult]:
+    """Read gold, forecast, write the four tables. ``write`` and ``read`` as in ``build_gold``."""
+    tables = {name: read(spark, f"{lake}/{path}") for name, path in GOLD_TABLES.items()}
     results = forecast_tables(spark, training_panel(tables), **options)
     return {
-        name: write_table(df, f"{lake}/{fixed.GOLD_FORECAST}/{name}")
+        name: write(df, f"{lake}/{fixed.GOLD_FORECAST}/{name}")
         for name, df in results.items()
     }

@@ -27,7 +27,7 @@ from siltbed.operators.quality import grain_check, null_fk_report, null_fk_rows
 from siltbed.operators.rollup import rollup
 from siltbed.plans import fixed_values as fixed
 from siltbed.sources.readers import read_table
-from siltbed.sources.writers import WriteResult, write_table
+from siltbed.sources.writers import Reader, Writer, WriteResult, write_table
 
 SILVER_TABLES = {
     "production": f"{fixed.SILVER_PANELS}/1_semiconductor_production",
@@ -304,8 +304,14 @@ def fact_checks(spark: SparkSession, lake: str, fact: str) -> dict[str, DataFram
     }
 
 
-def build_gold(spark: SparkSession, lake: str) -> dict[str, WriteResult]:
-    """Write all dimensions, then all facts."""
+def build_gold(
+    spark: SparkSession, lake: str, write: Writer = write_table, read: Reader = read_table
+) -> dict[str, WriteResult]:
+    """Write all dimensions, then all facts.
+
+    With ``write=publish_table, read=read_published`` every table is published by version, so
+    a run that fails half-way leaves all tables readable.
+    """
     silver = {
         name: read_table(spark, f"{lake}/{path}", recursive=name != "bars")
         for name, path in SILVER_TABLES.items()
@@ -313,8 +319,8 @@ def build_gold(spark: SparkSession, lake: str) -> dict[str, WriteResult]:
     written, dims = {}, {}
     for name, df in dimensions(silver).items():
         path = f"{lake}/{fixed.GOLD_DIMENSIONS}/{name}"
-        written[name] = write_table(df, path)
-        dims[name] = read_table(spark, path)
+        written[name] = write(df, path)
+        dims[name] = read(spark, path)
     for name, df in facts(silver, dims).items():
-        written[name] = write_table(df, f"{lake}/{fixed.GOLD_FACTS}/{name}")
+        written[name] = write(df, f"{lake}/{fixed.GOLD_FACTS}/{name}")
     return written

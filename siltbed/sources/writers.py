@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,11 @@ class WriteResult:
     schema: str
 
 
+#: How a job writes a table to a path, and reads one from it.
+Writer = Callable[[DataFrame, str], WriteResult]
+Reader = Callable[[SparkSession, str], DataFrame]
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltbed.sources.published import publish_keys, publish_table, read_published
 from siltbed.sources.readers import concat_bars, read_csv, read_table
 from siltbed.sources.session import staging_path
 from siltbed.sources.split_csv import read_split_csv
@@ -84,3 +85,33 @@ def landed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("volume").cast("int").alias("Volume"),
     )
     return concat_bars({"WHOLE": landed, "PLAIN": landed.drop("Adj Close")})
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus
+FROM orders""")
+def published_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One status published anew: its rows change, those of the others stay where they are."""
+    path = staging_path(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    publish_keys(orders, path, ["o_orderstatus"])
+    filled = orders.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    publish_keys(filled, path, ["o_orderstatus"])
+    return read_published(spark, path)
+
+
+@query("""
+SELECT 1 AS version, o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority
+UNION ALL
+SELECT 2, o_orderpriority, count(*) FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority""")
+def published_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose second version is made from its first; both can be read."""
+    path = staging_path(spark)
+    publish_table(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), path)
+    publish_table(read_published(spark, path).filter("o_totalprice > 100000"), path)
+    counts = [
+        read_published(spark, path, v).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(v).alias("version"), "o_orderpriority", "n")
+        for v in (1, 2)
+    ]
+    return counts[0].unionByName(counts[1])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from siltbed.errors import MissingInputError
 from siltbed.functions import surrogate_key
 from siltbed.plans import bronze, fixed_values as fixed, forecast, gold, silver
+from siltbed.sources.published import publish_table, read_published
 from siltbed.sources.readers import (
     concat_bars,
     landed_bars,
@@ -225,6 +227,15 @@ def test_gold_facts(spark, lake):
     assert keys.join(production, "company_key", "left_semi").count() == 2
 
 
+def test_gold_can_be_published(spark, lake, tmp_path):
+    (tmp_path / "silver").symlink_to(Path(lake["root"]) / "silver")
+    written = gold.build_gold(spark, str(tmp_path), write=publish_table, read=read_published)
+    assert {n: w.rows for n, w in written.items()} == {n: w.rows for n, w in lake["gold"].items()}
+    path = f"{tmp_path}/{fixed.GOLD_FACTS}/fact_semiconductor_production"
+    expected = gold_table(spark, lake, fixed.GOLD_FACTS, "fact_semiconductor_production")
+    assert read_published(spark, path).exceptAll(expected).count() == 0
+
+
 def test_company_year_rollup(spark, lake):
     production = read_table(spark, f"{lake['root']}/{fixed.SILVER_PANELS}/1_semiconductor_production")
     got = gold.company_year_rollup(production.drop("fab_count"))
