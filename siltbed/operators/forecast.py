@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from siltbed.operators.metrics import regression_metrics
 from siltbed.operators.rollup import compound_growth
 from siltbed.operators.timeseries import percent_change
+from siltbed.operators.trees import forest_size, score_trees
 
 # A predictor adds its prediction to the frame under the given name.
 Predictor = Callable[[DataFrame, str], DataFrame]
@@ -58,6 +59,12 @@ def model_predictor(model: GBTRegressionModel) -> Predictor:
     return lambda df, out: model.transform(df, {model.predictionCol: out})
 
 
+def tree_predictor(trees: DataFrame, features: Sequence[str]) -> Predictor:
+    """Predictor from a table of trees (``operators.trees``); reads the features by name."""
+    size = forest_size(trees)
+    return lambda df, out: score_trees(df, trees, features, out, size=size)
+
+
 def column_predictor(growth: Column) -> Predictor:
     """Predictor from an expression, e.g. a per-key historical mean growth."""
     return lambda df, out: df.withColumn(out, growth)
