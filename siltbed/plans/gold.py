@@ -7,6 +7,7 @@ stored table instead of computing the dimension again.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from siltbed.operators.dimensional import (
 from siltbed.operators.quality import grain_check, null_fk_report, null_fk_rows
 from siltbed.operators.rollup import rollup
 from siltbed.plans import fixed_values as fixed
+from siltbed.plans.jobs import Job, RunReport, TablesOnDemand, run_jobs
 from siltbed.sources.readers import read_table
 from siltbed.sources.writers import Reader, Writer, WriteResult, write_table
 
@@ -98,16 +100,19 @@ def dim_date(silver: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+#: How each dimension is made from the silver tables.
+DIMENSIONS = {
+    "dim_company": lambda s: dim_company(s["production"], s["innovation"], s["bars"]),
+    "dim_country": lambda s: dim_country(s["production"], s["demand"], s["risk"], s["trade"]),
+    "dim_region": lambda s: dim_region(s["disruption"]),
+    "dim_product": lambda s: dim_product(s["prices"]),
+    "dim_technology": lambda s: dim_technology(s["innovation"], s["production"]),
+    "dim_date": lambda s: dim_date(s),
+}
+
+
 def dimensions(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    s = silver
-    return {
-        "dim_company": dim_company(s["production"], s["innovation"], s["bars"]),
-        "dim_country": dim_country(s["production"], s["demand"], s["risk"], s["trade"]),
-        "dim_region": dim_region(s["disruption"]),
-        "dim_product": dim_product(s["prices"]),
-        "dim_technology": dim_technology(s["innovation"], s["production"]),
-        "dim_date": dim_date(s),
-    }
+    return {name: build(silver) for name, build in DIMENSIONS.items()}
 
 
 # ---- facts ---------------------------------------------------------------------------------
@@ -259,19 +264,33 @@ def fact_semiconductor_supply_risk(
     )
 
 
+#: How each fact is made from silver tables and dimensions, and the dimensions it looks up.
+FACTS = {
+    "fact_ai_demand": (
+        lambda s, dims: fact_ai_demand(s["demand"], s["market"], dims),
+        ("dim_date", "dim_country"),
+    ),
+    "fact_chip_market_price": (
+        lambda s, dims: fact_chip_market_price(s["prices"], dims),
+        ("dim_date", "dim_product"),
+    ),
+    "fact_stock_market": (
+        lambda s, dims: fact_stock_market(s["bars"], dims),
+        ("dim_date", "dim_company"),
+    ),
+    "fact_semiconductor_production": (
+        lambda s, dims: fact_semiconductor_production(s["production"], s["innovation"], dims),
+        ("dim_date", "dim_company", "dim_country", "dim_technology"),
+    ),
+    "fact_semiconductor_supply_risk": (
+        lambda s, dims: fact_semiconductor_supply_risk(s["risk"], s["disruption"], dims),
+        ("dim_date", "dim_country", "dim_region"),
+    ),
+}
+
+
 def facts(silver: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    s = silver
-    return {
-        "fact_ai_demand": fact_ai_demand(s["demand"], s["market"], dims),
-        "fact_chip_market_price": fact_chip_market_price(s["prices"], dims),
-        "fact_stock_market": fact_stock_market(s["bars"], dims),
-        "fact_semiconductor_production": fact_semiconductor_production(
-            s["production"], s["innovation"], dims
-        ),
-        "fact_semiconductor_supply_risk": fact_semiconductor_supply_risk(
-            s["risk"], s["disruption"], dims
-        ),
-    }
+    return {name: build(silver, dims) for name, (build, _) in FACTS.items()}
 
 
 def company_year_rollup(production: DataFrame) -> DataFrame:
@@ -324,3 +343,49 @@ def build_gold(
     for name, df in facts(silver, dims).items():
         written[name] = write(df, f"{lake}/{fixed.GOLD_FACTS}/{name}")
     return written
+
+
+def gold_path(lake: str, name: str) -> str:
+    folder = fixed.GOLD_DIMENSIONS if name in DIMENSIONS else fixed.GOLD_FACTS
+    return f"{lake}/{folder}/{name}"
+
+
+def gold_jobs(
+    spark: SparkSession, lake: str, write: Writer = write_table, read: Reader = read_table
+) -> dict[str, Job]:
+    """A job for every gold table; a fact needs the dimensions it looks up and no others.
+
+    Silver tables are read by the jobs that use them, so a missing one costs only their tables.
+    """
+
+    def silver() -> Mapping[str, DataFrame]:
+        return TablesOnDemand(
+            lambda name: read_table(spark, f"{lake}/{SILVER_TABLES[name]}", recursive=name != "bars")
+        )
+
+    def dimension(name: str) -> WriteResult:
+        return write(DIMENSIONS[name](silver()), gold_path(lake, name))
+
+    def fact(name: str) -> WriteResult:
+        build, needs = FACTS[name]
+        dims = {n: read(spark, gold_path(lake, n)) for n in needs}
+        return write(build(silver(), dims), gold_path(lake, name))
+
+    jobs = {name: Job(partial(dimension, name)) for name in DIMENSIONS}
+    return jobs | {name: Job(partial(fact, name), needs) for name, (_, needs) in FACTS.items()}
+
+
+def run_gold(
+    spark: SparkSession,
+    lake: str,
+    record: str | None = None,
+    width: int = 4,
+    write: Writer = write_table,
+    read: Reader = read_table,
+) -> RunReport:
+    """The tables of ``build_gold``, those that do not need each other at the same time.
+
+    Failures are reported and cost only the tables that need the failed one. With ``record``
+    a second call goes on where the first one stopped.
+    """
+    return run_jobs(spark, gold_jobs(spark, lake, write, read), record, width)

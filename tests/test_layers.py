@@ -236,6 +236,31 @@ def test_gold_can_be_published(spark, lake, tmp_path):
     assert read_published(spark, path).exceptAll(expected).count() == 0
 
 
+def test_gold_side_by_side_equals_gold_in_turn(spark, lake, tmp_path):
+    (tmp_path / "silver").symlink_to(Path(lake["root"]) / "silver")
+    report = gold.run_gold(spark, str(tmp_path), f"{tmp_path}/run", write=publish_table, read=read_published)
+    assert not report.failures and not report.left_out
+    assert {n: w.rows for n, w in report.written.items()} == {n: w.rows for n, w in lake["gold"].items()}
+    for name in gold.FACTS:
+        expected = gold_table(spark, lake, fixed.GOLD_FACTS, name)
+        got = read_published(spark, gold.gold_path(str(tmp_path), name))
+        assert got.columns == expected.columns
+        assert got.exceptAll(expected).count() == expected.exceptAll(got).count() == 0
+    again = gold.run_gold(spark, str(tmp_path), f"{tmp_path}/run", write=publish_table, read=read_published)
+    assert set(again.kept) == {*gold.DIMENSIONS, *gold.FACTS} and not again.written
+
+
+def test_gold_without_a_silver_table_writes_the_others(spark, lake, tmp_path):
+    for path in set(gold.SILVER_TABLES.values()) - {gold.SILVER_TABLES["disruption"]}:
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).symlink_to(Path(lake["root"]) / path)
+    report = gold.run_gold(spark, str(tmp_path))
+    # The calendar is made from all panels; all facts look it up.
+    assert set(report.failures) == {"dim_region", "dim_date"}
+    assert set(report.left_out) == set(gold.FACTS)
+    assert set(report.written) == {"dim_company", "dim_country", "dim_product", "dim_technology"}
+
+
 def test_company_year_rollup(spark, lake):
     production = read_table(spark, f"{lake['root']}/{fixed.SILVER_PANELS}/1_semiconductor_production")
     got = gold.company_year_rollup(production.drop("fab_count"))
