@@ -86,8 +86,8 @@ def lag_and_growth(
     return lagged.withColumns({f"{t}_yoy_growth": growth(t) for t in targets}).drop("_spread", "_tie")
 
 
-def category_codes(df: DataFrame, column: str, out: str, slices: int = 256) -> DataFrame:
-    """Ordinal code of each value among the sorted distinct values; -1 for NULL.
+def ordinals(df: DataFrame, column: str, slices: int = 256) -> DataFrame:
+    """(_v, _code): the distinct values that are not NULL and their places in order, from 0.
 
     Counting runs per slice of the sorted values. The about ``slices`` slice limits are a
     hash sample of the distinct values, so they depend on the data only and need no driver
@@ -109,9 +109,12 @@ def category_codes(df: DataFrame, column: str, out: str, slices: int = 256) -> D
         .select("_s", F.coalesce(before, F.lit(0)).alias("_start"))
     )
     within = F.row_number().over(W.partitionBy("_s").orderBy("_v")) - 1
-    codes = sliced.join(starts, "_s").select(
-        "_v", (F.col("_start") + within).cast("int").alias(out)
-    )
+    return sliced.join(starts, "_s").select("_v", (F.col("_start") + within).alias("_code"))
+
+
+def category_codes(df: DataFrame, column: str, out: str, slices: int = 256) -> DataFrame:
+    """Ordinal code of each value among the sorted distinct values; -1 for NULL."""
+    codes = ordinals(df, column, slices).select("_v", F.col("_code").cast("int").alias(out))
     coded = df.drop(out).join(codes, F.col(column) == F.col("_v"), "left").drop("_v")
     return coded.withColumn(out, F.coalesce(out, F.lit(-1)))
 
@@ -121,15 +124,14 @@ def chronological_split(
 ) -> DataFrame:
     """Mark the earlier periods as training rows.
 
-    The cut counts distinct periods; with at least two, both sides get one. The distinct
-    periods are one short array in a scalar subquery, so rows are not shuffled. The panel
-    is read twice: stage it first where computing it is dear.
+    The cut counts distinct periods; with at least two, both sides get one. Periods are
+    numbered in slices and never gathered, and rows are not shuffled. The panel is read
+    several times: stage it first where computing it is dear.
     """
-    periods = df.agg(F.array_sort(F.collect_set(period)).alias("p"))
-    n = F.size("p")
+    n = df.agg(F.count_distinct(period)).scalar()
     cut = F.floor(n * (1 - test_fraction))
-    cut = F.greatest(F.lit(1), F.least(cut, n - 1)).cast("int")
-    first_test = periods.select(F.get("p", cut)).scalar()
+    cut = F.greatest(F.lit(1), F.least(cut, n - 1))
+    first_test = ordinals(df, period).filter(F.col("_code") == cut).agg(F.min("_v")).scalar()
     early = F.coalesce(F.col(period) < first_test, F.lit(True))
     return df.withColumn(out, F.when(F.col(period).isNotNull(), early))
 

@@ -4,6 +4,7 @@ from siltbed.workload import (  # noqa: F401 - importing registers the queries
     cleaning,
     dimensional,
     forecasting,
+    layers,
     pages,
     panel,
     quality,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltbed.operators.key_tables import append_members, read_members, with_member_codes
 from siltbed.sources.published import publish_keys, publish_table, read_published
 from siltbed.sources.readers import concat_bars, read_csv, read_table
 from siltbed.sources.session import staging_path
@@ -115,3 +116,33 @@ def published_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         for v in (1, 2)
     ]
     return counts[0].unionByName(counts[1])
+
+
+@query("""
+WITH old AS (SELECT DISTINCT p_brand FROM part WHERE p_size <= 5),
+first AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS code, 1 AS batch FROM old),
+later AS (
+  SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 + (SELECT count(*) FROM old) AS code, 2 AS batch
+  FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL EXCEPT SELECT p_brand FROM old)),
+coded AS (SELECT * FROM first UNION ALL SELECT * FROM later)
+SELECT p_brand AS member, code, batch, count(*) AS n_parts FROM coded JOIN part USING (p_brand) GROUP BY ALL""")
+def member_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands of small parts are numbered first; a second run over all keeps these codes."""
+    path = staging_path(spark)
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    append_members(parts.filter("p_size <= 5"), "p_brand", path)
+    append_members(parts, "p_brand", path)
+    counts = with_member_codes(parts, "p_brand", "code", path).groupBy("code").agg(F.count(F.lit(1)).alias("n_parts"))
+    return read_members(spark, path).join(counts, "code").select("member", "code", "batch", "n_parts")
+
+
+@query("""
+SELECT doc_id, row_number() OVER (ORDER BY text) - 1 AS code
+FROM (SELECT min(doc_id) AS doc_id, text FROM documents WHERE text IS NOT NULL GROUP BY text)""")
+def text_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as members, numbered in slices of their order; each by its first document."""
+    path = staging_path(spark)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    append_members(documents, "text", path)
+    coded = with_member_codes(documents.dropna(subset=["text"]), "text", "code", path)
+    return coded.groupBy("code").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "code")

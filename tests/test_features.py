@@ -204,3 +204,22 @@ def test_lags_of_tied_rows_do_not_depend_on_partitions(frame, partitions):
         got = sorted(map(tuple, f.lag_and_growth(df, "country", "year", ["gpu"]).collect()))
         want = want or got
         assert got == want
+
+
+def test_split_of_many_periods(spark):
+    """Periods are numbered in slices: no aggregate holds them all."""
+    panel = spark.range(300_000).select((F.col("id") * 7919 % 100_003).alias("period"))
+    split = f.chronological_split(panel, "period", 0.25)
+    counts = split.groupBy("is_train").agg(F.countDistinct("period").alias("n"), F.max("period").alias("last"))
+    got = {r.is_train: (r.n, r["last"]) for r in counts.collect()}
+    cut = 100_003 * 3 // 4
+    assert got == {True: (cut, cut - 1), False: (100_003 - cut, 100_002)}
+
+
+@pytest.mark.parametrize("periods, train", [([], []), ([None], [None]), ([4], [True]), ([4, 4, None], [True, True, None]), ([4, 5], [True, False]), (["b", "a", "c"], [True, True, False])])
+def test_split_of_few_periods(frame, periods, train):
+    kind = "string" if "a" in periods else "int"
+    split = f.chronological_split(frame([(p,) for p in periods], f"period {kind}"), "period", 0.2)
+    got = sorted(((r.period is None, r.period, r.is_train) for r in split.collect()), key=str)
+    expected = sorted(((p is None, p, t) for p, t in zip(sorted(periods, key=str), train)), key=str)
+    assert got == expected
