@@ -1,12 +1,13 @@
 """Near-duplicates by the exact similarity of five-word shingle sets.
 
-Two texts are near copies if the Jaccard similarity of their shingle sets is 0.8 or more. At
-that similarity a tenth to a sixth of SimHash bits differ, which is too many for blocks of
-whole equal bits, so pairs are proposed by bands of min-wise hashes: a pair at 0.8 shares
-none of the bands once in 300,000 times and a pair above it far less often. Every proposal
-is settled on the sets themselves before it becomes a link.
-
-The members of a bucket are not paired with each other. In each round one of them, another
+Two texts are near copies if the Jaccard similarity of their shingle sets is 0.8 or more.
+SimHash proposes first: fingerprints of the shingle sets, compared bit-sliced inside buckets
+as in ``simhash``. At 0.8 a tenth to a sixth of the bits differ, which is too many for blocks
+of whole equal bits, so the pairs beyond its radius are proposed by bands of min-wise hashes:
+a pair at 0.8 shares none of the bands once in 300,000 times and a pair above it far less
+often. Every proposal is settled on the sets themselves before it becomes a link.
+
+What SimHash has connected is one component to all that follows. The members of a bucket are not paired with each other. In each round one of them, another
 each time, is held against those not connected with it yet, so a round proposes no more
 pairs than there are members, however large the bucket. The first is the one that meets most
 others in all its buckets: of copies that were changed apart, the one nearest to their
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltbed.llm.components import connected_components
-from siltbed.llm.simhash import SEED, lower_ascii
+from siltbed.llm.simhash import SEED, link_fingerprints, lower_ascii, majority_bits
 from siltbed.llm.words import WordBatch, combine, mix, slices
 from siltbed.sources.session import staged
 
@@ -109,13 +110,13 @@ def _list_of(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
 
 
 def marked(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, text, node, size, bands, sketch) of every row.
+    """(row, node, size, fingerprint, bands, sketch) of every row.
 
-    ``row`` holds all columns, ``node`` is a digest of the shingle set and ``size`` its size;
-    a text without words has no bands and no sketch.
+    ``row`` holds all columns, ``node`` is a digest of the shingle set, ``size`` its size and
+    ``fingerprint`` its SimHash; a text without words has no bands and no sketch.
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-    more = StructType.fromDDL("node long, size int, bands array<long>, sketch array<long>")
+    more = StructType.fromDDL("node long, size int, fingerprint long, bands array<long>, sketch array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1, rows=512, most=1 << 20):
@@ -126,12 +127,13 @@ def marked(docs: DataFrame, text: str = "text") -> DataFrame:
             found = [
                 pa.array(set_digests(hashes, offsets)),
                 pa.array(size, pa.int32()),
+                pa.array(majority_bits(hashes, offsets).view(np.int64)),
                 _list_of(bands, before * BANDS),
                 _list_of(sketch, before * SKETCH),
             ]
-            yield pa.RecordBatch.from_arrays([*part.columns, *found], names=["row", "text", *more.names])
+            yield pa.RecordBatch.from_arrays([part.column(0), *found], names=["row", *more.names])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, *more.fields]))
+    return rows.mapInArrow(run, StructType([rows.schema["row"], *more.fields]))
 
 
 def shingled(nodes: DataFrame) -> DataFrame:
@@ -155,6 +157,18 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(9 * shared >= 4 * both).select("a", "b")
 
 
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that connect all whose fingerprints are linked by SimHash.
+
+    Nodes of one fingerprint are paired with the smallest of them, which stands for it.
+    """
+    firsts = nodes.groupBy("fingerprint").agg(F.min("node").alias("first"))
+    same = nodes.join(firsts, "fingerprint").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    of = lambda end: firsts.select(F.col("fingerprint").alias(end), F.col("first").alias(f"first_{end}"))
+    linked = link_fingerprints(firsts.select("fingerprint")).distinct().join(of("a"), "a").join(of("b"), "b")
+    return same.union(linked.select("first_a", "first_b"))
+
+
 def can_be_similar(one: str, other: str) -> Column:
     """Whether sizes and sketches of two members allow a similarity of 0.8."""
     x, y = F.col(f"{one}.size"), F.col(f"{other}.size")
@@ -208,10 +222,8 @@ def with_apart(held: DataFrame, sets: DataFrame) -> DataFrame:
     return placed.join(seen, ["node", "center"]).withColumn("common", F.col("apart") - alone)
 
 
-def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root) after some more links; components known so far count as one node each."""
-    if roots is None:
-        return staged(connected_components(links))
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     known = staged(roots.union(ends.join(roots, "node", "left_anti").select("node", "node")))
     of = lambda end: known.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
@@ -223,22 +235,23 @@ def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 def near_links(marks: DataFrame) -> DataFrame:
     """(node, root) of all shingle sets that are near others, by connected components.
 
-    Links within what is already connected add nothing, so only members of a bucket that
-    are not connected with its leader are held against it.
+    SimHash links come first. Links within what is already connected add nothing, so only
+    members of a bucket that are not connected with its leader are held against it.
     """
-    keyed = marks.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "bands", "sketch")])
+    keyed = marks.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "fingerprint", "bands", "sketch")])
     banded = staged(keyed)
-    keyed = banded.withColumn("bucket", F.explode("bands")).drop("bands")
+    proposed = staged(simhash_pairs(banded.where("size > 0").select("node", "fingerprint")))
+    keyed = banded.withColumn("bucket", F.explode("bands")).drop("bands", "fingerprint")
     shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = staged(keyed.join(shared, "bucket"))
-    wanted = marks.select("node", "text").join(members.select("node").distinct(), "node", "left_semi")
+    held = members.select("node").union(proposed.select(F.explode(F.array("a", "b")))).distinct()
+    wanted = marks.select("node", "text").join(held, "node", "left_semi")
     sets = staged(shingled(wanted.groupBy("node").agg(F.min("text").alias("text"))))
 
-    roots, turn, last = None, 0, False
+    roots = staged(connected_components(similar(proposed, sets)))
+    turn, last = 0, False
     while True:
-        named = members.withColumn("root", F.col("node"))
-        if roots is not None:
-            named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         place = F.xxhash64("node", F.lit(turn))
         if not turn:
             named, place = with_met(named), central()
@@ -274,7 +287,7 @@ def near_links(marks: DataFrame) -> DataFrame:
         asked = pairs.count()
         new = staged(similar(pairs, sets))
         found = new.count()
-        if roots is None or found:
+        if found:
             roots = joined_roots(roots, new)
         if last:
             return roots
@@ -290,6 +303,6 @@ def with_group(docs: DataFrame, text: str = "text") -> DataFrame:
     empty table stays empty.
     """
     marks = staged(marked(docs, text))
-    roots = near_links(marks.drop("row")).withColumnRenamed("node", "of")
+    roots = near_links(marks.select(F.col("row")[text].alias("text"), *marks.columns[1:])).withColumnRenamed("node", "of")
     named = marks.select("row", "node").join(roots, F.col("node") == F.col("of"), "left")
     return named.select("row", F.coalesce("root", "node").alias("group"))

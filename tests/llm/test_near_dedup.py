@@ -5,7 +5,10 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from siltbed.llm import near_dedup
 from siltbed.llm.near_dedup import with_group
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,3 +76,30 @@ def test_groups_equal_brute_force(spark):
     assert [first[got[i]] for i in range(len(texts))] == want
     kept = corpus_pipeline.STAGES[1][1](spark, docs, None).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(want))
+
+
+def groups_of(marks) -> dict:
+    roots = {r.node: r.root for r in near_dedup.near_links(marks).collect()}
+    return {r.text: roots.get(r.node, r.node) for r in marks.select("text", "node").collect()}
+
+
+def test_simhash_proposes_pairs_that_share_no_band(spark):
+    rng = random.Random(3)
+    long, other = ([f"w{rng.randrange(9000)}" for _ in range(600)] for _ in range(2))
+    texts = [" ".join(long), " ".join(long) + " end", " ".join(other), " ".join(other) + " end"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    marks = near_dedup.marked(docs).select("row.text", "*").drop("row")
+    found = groups_of(marks.withColumn("bands", F.array("node")))
+    assert found[texts[0]] == found[texts[1]] != found[texts[2]] == found[texts[3]]
+
+
+def test_simhash_proposals_are_settled_on_the_sets(spark):
+    texts = [t for t in edited_texts()[:60] if shingles(t)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    marks = near_dedup.marked(docs).select("row.text", "*").drop("row")
+    found = groups_of(marks.withColumn("fingerprint", F.lit(0).cast("long")))
+    want = brute_groups(texts)
+    first = {}
+    for i, group in enumerate(want):
+        first.setdefault(found[texts[i]], i)
+    assert [first[found[t]] for t in texts] == want
