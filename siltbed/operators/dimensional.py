@@ -112,10 +112,18 @@ def enrich(
     other: DataFrame,
     on: Sequence[tuple[Column, Column]],
     columns: Sequence[str],
+    unique: bool = True,
 ) -> DataFrame:
-    """Left join on computed natural keys, taking only ``columns`` from the other side."""
+    """Left join on computed natural keys, taking only ``columns`` from the other side.
+
+    ``unique=False`` leaves the other side one row per key first, the largest by its columns,
+    so the base keeps its grain.
+    """
     staged = base.withColumns({f"_l{i}": left for i, (left, _) in enumerate(on)})
     side = other.select(*[right.alias(f"_r{i}") for i, (_, right) in enumerate(on)], *columns)
+    if not unique:
+        keys = [f"_r{i}" for i in range(len(on))]
+        side = side.groupBy(*keys).agg(F.max(F.struct(*columns)).alias("_row")).select(*keys, "_row.*")
     helpers = [f"_{s}{i}" for s in "lr" for i in range(len(on))]
     match = [F.col(f"_l{i}") == F.col(f"_r{i}") for i in range(len(on))]
     return staged.join(side, match, "left").drop(*helpers)

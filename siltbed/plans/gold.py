@@ -182,7 +182,10 @@ def fact_stock_market(bars: DataFrame, dims: Mapping[str, DataFrame]) -> DataFra
 def fact_semiconductor_production(
     production: DataFrame, innovation: DataFrame, dims: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Production enriched on company, year and node; grain company, country, node, year."""
+    """Production enriched on company, year and node; grain company, country, node, year.
+
+    Several innovation rows of one company, year and node do not multiply production rows.
+    """
     base = production.select(
         "year",
         F.col("company").alias("company_name"),
@@ -200,6 +203,7 @@ def fact_semiconductor_production(
             (node, node),
         ],
         fixed.INNOVATION_MEASURES,
+        unique=False,
     )
     keyed = _by_company(joined, dims["dim_company"], "company_name")
     keyed = _by_name(keyed, dims["dim_country"], "country_name", "country_name", "country_key")
@@ -232,7 +236,10 @@ def fact_semiconductor_production(
 def fact_semiconductor_supply_risk(
     risk: DataFrame, disruption: DataFrame, dims: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Country risk enriched with the disruption of its region; grain year and country."""
+    """Country risk enriched with the disruption of its region; grain year and country.
+
+    Several spellings of a region do not multiply risk rows.
+    """
     base = risk.select(
         "year",
         F.col("country").alias("country_name"),
@@ -244,6 +251,7 @@ def fact_semiconductor_supply_risk(
         disruption,
         [(F.col("year"), F.col("year")), (F.col("region_name"), lower_trim(F.col("region")))],
         fixed.DISRUPTION_MEASURES,
+        unique=False,
     )
     keyed = _by_name(joined, dims["dim_country"], "country_name", "country_name", "country_key")
     keyed = _by_name(keyed, dims["dim_region"], "region_name", "region_name", "region_key")

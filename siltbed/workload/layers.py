@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from siltbed.operators.dimensional import union_all
 from siltbed.plans import fixed_values as fixed
 from siltbed.plans import gold
+from siltbed.plans.jobs import Job, run_jobs
 from siltbed.sources.readers import read_table
 from siltbed.sources.session import staged, staging_path
 from siltbed.sources.writers import write_table
@@ -49,20 +51,23 @@ def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .join(makers, F.col("l_suppkey") == F.col("s_suppkey"))
         .select("year", "s_suppkey", "s_name", "country", "region", "importing_country", "l_linenumber", "l_quantity")
     )
-    made = sold.groupBy("year", "s_suppkey", F.col("s_name").alias("company"), "country", F.col("l_linenumber").alias("node"))
+    maker = ("year", "s_suppkey", F.col("s_name").alias("company"), "country", "region")
+    made = staged(
+        sold.groupBy(*maker, F.col("l_linenumber").alias("node")).agg(F.sum("l_quantity").alias("q"), n.alias("n"))
+    )
     daily = bars(spark, sf_dir)
     return {
-        "production": made.agg(F.sum("l_quantity").alias("q")).select(
+        "production": made.select(
             "year", "company", "country", F.col("node").alias("technology_node_nm"), *_measures(fixed.PRODUCTION_MEASURES, F.col("q"))
         ),
-        "innovation": made.agg(n.alias("n")).filter("s_suppkey % 2 = 0").select(
+        "innovation": made.filter("s_suppkey % 2 = 0").select(
             "year", "company", F.col("node").alias("node_size_nm"), *_measures(fixed.INNOVATION_MEASURES, F.col("n"))
         ),
         "demand": ordered.groupBy("year", "country").agg(*_measures(fixed.DEMAND_MEASURES, n)),
         "market": lines.groupBy((F.year("l_shipdate") + 1).alias("year")).agg(*_measures(fixed.MARKET_MEASURES, n)),
         "trade": sold.select("year", F.col("country").alias("exporting_country"), "importing_country").distinct(),
         "risk": ordered.groupBy("year", "country").agg(*_measures(fixed.RISK_MEASURES, n)),
-        "disruption": sold.groupBy("year", "region").agg(*_measures(fixed.DISRUPTION_MEASURES, n)),
+        "disruption": made.groupBy("year", "region").agg(*_measures(fixed.DISRUPTION_MEASURES, F.sum("n"))),
         "prices": lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
             F.to_date("l_shipdate").alias("date"),
             F.col("p_name").alias("product"),
@@ -173,8 +178,11 @@ SELECT 'fact_semiconductor_supply_risk', count(*), count(known),
 def gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, rows with all their keys, and sums of keys and measures of all eleven gold tables."""
     lake = staging_path(spark)
-    for name, df in _silver(spark, sf_dir).items():
-        write_table(df, f"{lake}/{gold.SILVER_TABLES[name]}")
+    silver = _silver(spark, sf_dir).items()
+    landing = {name: Job(partial(write_table, df, f"{lake}/{gold.SILVER_TABLES[name]}")) for name, df in silver}
+    landed = run_jobs(spark, landing)
+    if landed.failures:
+        raise RuntimeError(f"silver tables failed: {landed.failures}")
     report = gold.run_gold(spark, lake)
     if report.failures:
         raise RuntimeError(f"gold tables failed: {report.failures}")

@@ -73,6 +73,14 @@ def test_enrich_on_computed_keys(frame):
     assert rows(got) == [(" A ", 1, 5, 0.5), ("b", 1, None, None), (None, 2, 5, None)]
 
 
+def test_enrich_keeps_the_grain_of_its_base(frame):
+    base = frame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, n int")
+    other = frame([("A", 1.0, 9.0), ("a ", 2.0, None), ("a", None, 5.0), (None, 7.0, 7.0)], "k2 string, x double, y double")
+    on = [(F.col("k"), F.lower(F.trim(F.col("k2"))))]
+    got = d.enrich(base, other, on, ["x", "y"], unique=False)
+    assert rows(got) == [("a", 1, 2.0, None), ("a", 2, 2.0, None), ("b", 3, None, None), (None, 4, None, None)]
+
+
 def test_outer_enrich_equals_full_outer_join(frame):
     left = frame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], "year int, c string")
     right = frame([(1, 10.0), (3, 30.0), (3, 31.0), (None, 0.0)], "year int, m double")

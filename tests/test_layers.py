@@ -227,6 +227,22 @@ def test_gold_facts(spark, lake):
     assert keys.join(production, "company_key", "left_semi").count() == 2
 
 
+def test_repeated_rows_to_enrich_with_do_not_multiply_facts(spark, lake):
+    read = lambda path: read_table(spark, f"{lake['root']}/{path}")
+    silver_rows = {n: read(gold.SILVER_TABLES[n]) for n in ("production", "innovation", "risk", "disruption")}
+    dims = {n: gold_table(spark, lake, fixed.GOLD_DIMENSIONS, n) for n in gold.DIMENSIONS}
+    shout = lambda df, c: df.union(df.withColumn(c, F.upper(c)))
+    repeated = silver_rows | {
+        "innovation": shout(silver_rows["innovation"], "company"),
+        "disruption": shout(silver_rows["disruption"], "region"),
+    }
+    for name in ("fact_semiconductor_production", "fact_semiconductor_supply_risk"):
+        expected = gold_table(spark, lake, fixed.GOLD_FACTS, name)
+        got = gold.FACTS[name][0](repeated, dims)
+        assert got.count() == expected.count() == 60
+        assert got.exceptAll(expected).count() == 0
+
+
 def test_gold_can_be_published(spark, lake, tmp_path):
     (tmp_path / "silver").symlink_to(Path(lake["root"]) / "silver")
     written = gold.build_gold(spark, str(tmp_path), write=publish_table, read=read_published)
