@@ -78,6 +78,11 @@ def test_groups_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept) == sorted(set(want))
 
 
+def marks_of(spark, texts):
+    marks = near_dedup.marked(spark.createDataFrame([(t,) for t in texts], "text string"))
+    return marks.select(F.col("row.text").alias("text"), *[c for c in marks.columns if c not in ("row", "text")])
+
+
 def groups_of(marks) -> dict:
     roots = {r.node: r.root for r in near_dedup.near_links(marks).collect()}
     return {r.text: roots.get(r.node, r.node) for r in marks.select("text", "node").collect()}
@@ -87,16 +92,14 @@ def test_simhash_proposes_pairs_that_share_no_band(spark):
     rng = random.Random(3)
     long, other = ([f"w{rng.randrange(9000)}" for _ in range(600)] for _ in range(2))
     texts = [" ".join(long), " ".join(long) + " end", " ".join(other), " ".join(other) + " end"]
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    marks = near_dedup.marked(docs).select("row.text", "*").drop("row")
+    marks = marks_of(spark, texts)
     found = groups_of(marks.withColumn("bands", F.array("node")))
     assert found[texts[0]] == found[texts[1]] != found[texts[2]] == found[texts[3]]
 
 
 def test_simhash_proposals_are_settled_on_the_sets(spark):
     texts = [t for t in edited_texts()[:60] if shingles(t)]
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    marks = near_dedup.marked(docs).select("row.text", "*").drop("row")
+    marks = marks_of(spark, texts)
     found = groups_of(marks.withColumn("fingerprint", F.lit(0).cast("long")))
     want = brute_groups(texts)
     first = {}
